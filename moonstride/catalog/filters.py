@@ -85,9 +85,9 @@ def fl_first_of_day(t: Tables) -> DataFrame:
     return nth_of_day(t.events.select("event_id", "ts", "event_type"), "ts", "event_id")
 
 
-@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderdate = DATE '1998-10-03'")
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderdate = DATE '1995-06-19'")
 def fl_on_date(t: Tables) -> DataFrame:
-    day = filters.on_date("o_orderdate", date(1998, 10, 3))
+    day = filters.on_date("o_orderdate", date(1995, 6, 19))
     return t.orders.where(day).select("o_orderkey", "o_custkey")
 
 

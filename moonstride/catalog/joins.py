@@ -87,7 +87,10 @@ def jn_star(t: Tables) -> DataFrame:
     return fact.join(dimension.drop("event_type"), "kind_id", "left")
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("""
+    SELECT c_custkey, c_name FROM customer
+    WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""")
 def jn_left_anti(t: Tables) -> DataFrame:
-    """Customers without an order."""
-    return without_match(t.customer.select("c_custkey", "c_name"), t.orders, "c_custkey", "o_custkey")
+    """Customers without an urgent order."""
+    urgent = t.orders.where("o_orderpriority = '1-URGENT'")
+    return without_match(t.customer.select("c_custkey", "c_name"), urgent, "c_custkey", "o_custkey")
