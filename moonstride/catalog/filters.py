@@ -23,7 +23,7 @@ from moonstride.plans import intermediate, marts, staging
 def fl_not_null(t: Tables) -> DataFrame:
     """The dashboard's feed: sleeps with a duration and a moon phase."""
     staged = staging.stage_sleeps(sleep_records(t.events))
-    return marts.dashboard_feed(intermediate.sleeps(staged, staging.moon_calendar_columns(moon_seed(t.spark))))
+    return marts.dashboard_feed(intermediate.nights(staged, staging.moon_calendar_columns(moon_seed(t.spark))))
 
 
 @query("SELECT event_id, user_id, value FROM events WHERE event_type = 'purchase'")

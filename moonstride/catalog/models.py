@@ -27,6 +27,7 @@ from moonstride.catalog.standins import (
 from moonstride.catalog.times import CALENDAR_END
 from moonstride.operators.summary import count_per, in_spine_order, summary_per_category
 from moonstride.plans import intermediate, marts, staging
+from moonstride.session import stage
 from moonstride.sources.literals import literal_table
 
 
@@ -36,10 +37,20 @@ def _activities(t: Tables) -> DataFrame:
     return intermediate.activities(staging.stage_activities(flat), mapping)
 
 
+def _activity_table(t: Tables) -> DataFrame:
+    """Activities as a table, for models that read them several times."""
+    return stage(_activities(t), "activities")
+
+
 def _keyed(activities: DataFrame) -> DataFrame:
     return marts.keyed_activities(activities, marts.activity_types(activities), marts.gear(activities))
 
 
+def _nights(t: Tables) -> DataFrame:
+    staged = staging.stage_sleeps(sleep_records(t.events))
+    return intermediate.nights(staged, staging.moon_calendar_columns(moon_seed(t.spark)))
+
+
 def _sleeps(t: Tables) -> DataFrame:
     staged = staging.stage_sleeps(sleep_records(t.events))
     return intermediate.numbered_sleeps(staged, staging.moon_calendar_columns(moon_seed(t.spark)))
@@ -69,7 +80,7 @@ def model_activities(t: Tables) -> DataFrame:
     FROM {KEYED_ACTIVITY_SQL} k""")
 def model_star(t: Tables) -> DataFrame:
     """The activity fact with its foreign keys."""
-    return marts.fact_activities(_keyed(_activities(t)))
+    return marts.fact_activities(_keyed(_activity_table(t)))
 
 
 @query(f"""
@@ -78,7 +89,7 @@ def model_star(t: Tables) -> DataFrame:
     FROM {KEYED_ACTIVITY_SQL} k""")
 def model_socials(t: Tables) -> DataFrame:
     """The second fact of the same grain."""
-    return marts.fact_activity_socials(_keyed(_activities(t)))
+    return marts.fact_activity_socials(_keyed(_activity_table(t)))
 
 
 @query(f"SELECT * FROM {TYPE_SQL} t")
@@ -98,7 +109,7 @@ def model_gear(t: Tables) -> DataFrame:
     WHERE activity_name = 'Run' GROUP BY 1 ORDER BY 1""")
 def model_runs_per_day(t: Tables) -> DataFrame:
     """Through all layers: records, numbers, names, star, semantic fact, runs per day."""
-    activities = _activities(t)
+    activities = _activity_table(t)
     types = marts.activity_types(activities)
     fact = marts.fact_activities(marts.keyed_activities(activities, types, marts.gear(activities)))
     semantic = marts.semantic_activities(fact, types)
@@ -157,7 +168,7 @@ _PHASE_ROWS = [(name, i) for i, name in enumerate(MOON_PHASES)]
     ORDER BY 2""")
 def model_moon_summary(t: Tables) -> DataFrame:
     """The dashboard: mean sleep per moon phase, in the order of the phases."""
-    feed = marts.dashboard_feed(_sleeps(t))
+    feed = marts.dashboard_feed(_nights(t))
     summary = summary_per_category(feed, "moon_phase", _SUMMARY_COLUMNS)
     rounded = [c for c in summary.columns if c.endswith(("_minutes", "_hours"))]
     summary = summary.withColumns({c: F.round(c, 6) for c in rounded})
@@ -191,7 +202,7 @@ def model_data_check(t: Tables) -> DataFrame:
     """Which data exists for each day of the calendar."""
     activities = _activities(t)
     dates = marts.dim_dates(activities, CALENDAR_END)
-    return marts.data_check(dates, _sleeps(t), _workouts(t), activities)
+    return marts.data_check(dates, _nights(t), _workouts(t), activities)
 
 
 @query(f"""

@@ -129,8 +129,7 @@ _INTENT_SQL = """CASE
     FROM {SCOPE_SQL} s""")
 def qn_date_scope(t: Tables) -> DataFrame:
     """The dates each question asks about."""
-    scope = q.date_scope(F.col("question"), F.lit(AS_OF))
-    read = question_texts(t.orders).withColumn("scope", scope)
+    read = q.with_date_scope(question_texts(t.orders), "question", F.lit(AS_OF))
     return read.select(
         "o_orderkey",
         "question",

@@ -186,8 +186,14 @@ KEYED_ACTIVITY_SQL = f"""(
 def sleep_records(events: DataFrame) -> DataFrame:
     """Nested sleep records; some naps are unknown and some scores are missing."""
     event, user = F.col("event_id"), F.col("user_id")
-    k = F.from_json("props", "k bigint")["k"]
-    light = F.round(F.col("value") * 60000).cast("bigint")
+    k, light = F.col("_k"), F.col("_light")
+    # parsed once, in a projection of its own
+    events = events.withColumns(
+        {
+            "_k": F.from_json("props", "k bigint")["k"],
+            "_light": F.round(F.col("value") * 60000).cast("bigint"),
+        }
+    )
     score = F.struct(
         F.struct(
             (light + k * 1700).alias("total_in_bed_time_milli"),

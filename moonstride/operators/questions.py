@@ -43,27 +43,49 @@ _IN_YEAR = r"(?:in|during)\s+(\d{4})"
 _LAST_DAYS = r"(?:last|past)\s+(\d+)\s+days?"
 
 
-def date_scope(question: Column, as_of: Column | None = None, strict: bool = False) -> Column:
-    """Struct (kind, start, end, month, days) of the dates a question asks about; null if none.
+def with_date_scope(
+    questions: DataFrame, text: str = "question", as_of: Column | None = None, strict: bool = False
+) -> DataFrame:
+    """Add ``scope``: struct (kind, start, end, month, days) of the dates asked about, or null.
 
     ``end`` is exclusive. Tried in order: month of a year, month of any year, year, last N
     days, this month, this year. ``strict`` wants a blank or the end after a lone month;
     otherwise "in March?" is read as well.
     """
     as_of = F.current_date() if as_of is None else as_of
-    text = F.lower(question)
-    named_with_year = F.regexp_extract(text, _IN_MONTH_YEAR, 1)
-    month_of_year = month_number(named_with_year)
-    its_year = F.regexp_extract(text, _IN_MONTH_YEAR, 2).try_cast("int")
-    lone_month = month_number(F.regexp_extract(text, _IN_MONTH, 1))
-    if not strict:
-        lone_month = F.coalesce(lone_month, month_number(F.regexp_extract(text, _IN_MONTH_MARK, 1)))
-    lone_month = F.when(named_with_year == "", lone_month)
-    year = F.regexp_extract(text, _IN_YEAR, 1).try_cast("int")
-    days = F.regexp_extract(text, _LAST_DAYS, 1).try_cast("int")
-
-    month_start = F.make_date(its_year, month_of_year, F.lit(1))
-    year_start = F.make_date(year, F.lit(1), F.lit(1))
+    lowered = F.lower(text)
+
+    def word(pattern: str, group: int = 1) -> Column:
+        return F.regexp_extract(lowered, pattern, group)
+
+    # the patterns run once per text, in a projection of their own
+    found = questions.select(
+        "*",
+        word(_IN_MONTH_YEAR).alias("_named"),
+        word(_IN_MONTH_YEAR, 2).alias("_named_year"),
+        word(_IN_MONTH).alias("_lone"),
+        (F.lit("") if strict else word(_IN_MONTH_MARK)).alias("_marked"),
+        word(_IN_YEAR).alias("_year"),
+        word(_LAST_DAYS).alias("_days"),
+        lowered.contains("this month").alias("_this_month"),
+        lowered.contains("this year").alias("_this_year"),
+    )
+    # a failing try_cast costs an exception, so only texts of digits reach it
+    found = found.withColumns(
+        {
+            **{
+                number: F.when(F.col(number) != "", F.col(number)).try_cast("int")
+                for number in ("_named_year", "_year", "_days")
+            },
+            "_named_month": month_number(F.col("_named")),
+            "_lone_month": F.when(
+                F.col("_named") == "",
+                F.coalesce(month_number(F.col("_lone")), month_number(F.col("_marked"))),
+            ),
+        }
+    )
+    month_start = F.make_date("_named_year", "_named_month", F.lit(1))
+    year_start = F.make_date("_year", F.lit(1), F.lit(1))
     this_month, this_year = F.trunc(as_of, "MM"), F.trunc(as_of, "YYYY")
 
     def scope(kind: str, start=None, end=None, month=None, count=None) -> Column:
@@ -75,17 +97,21 @@ def date_scope(question: Column, as_of: Column | None = None, strict: bool = Fal
             (F.lit(None) if count is None else count).cast("int").alias("days"),
         )
 
-    return (
+    chosen = (
         F.when(
-            month_of_year.isNotNull(),
+            F.col("_named_month").isNotNull(),
             scope("month_of_year", month_start, F.add_months(month_start, 1)),
         )
-        .when(lone_month.isNotNull(), scope("month", month=lone_month))
-        .when(year.isNotNull(), scope("year", year_start, F.add_months(year_start, 12)))
-        .when(days.isNotNull(), scope("last_days", F.date_sub(as_of, days), count=days))
-        .when(text.contains("this month"), scope("this_month", this_month, F.add_months(this_month, 1)))
-        .when(text.contains("this year"), scope("this_year", this_year, F.add_months(this_year, 12)))
+        .when(F.col("_lone_month").isNotNull(), scope("month", month=F.col("_lone_month")))
+        .when(F.col("_year").isNotNull(), scope("year", year_start, F.add_months(year_start, 12)))
+        .when(
+            F.col("_days").isNotNull(),
+            scope("last_days", F.date_sub(as_of, F.col("_days")), count=F.col("_days")),
+        )
+        .when(F.col("_this_month"), scope("this_month", this_month, F.add_months(this_month, 1)))
+        .when(F.col("_this_year"), scope("this_year", this_year, F.add_months(this_year, 12)))
     )
+    return found.select(*questions.columns, chosen.alias("scope"))
 
 
 def _mentions(text: Column, words: tuple[str, ...], strict: bool) -> Column:
@@ -152,15 +178,12 @@ def read_question(
     spark: SparkSession, text: str, as_of: date | None = None, strict: bool = False
 ) -> Reading:
     """Read a single question with the same expressions that read a table of them."""
-    question = F.lit(text)
     today = None if as_of is None else F.lit(as_of)
+    asked = spark.range(1).select(F.lit(text).alias("question"))
+    question = F.col("question")
     row = (
-        spark.range(1)
-        .select(
-            intent(question).alias("intent"),
-            date_scope(question, today, strict).alias("scope"),
-            category(question, strict).alias("category"),
-        )
+        with_date_scope(asked, "question", today, strict)
+        .select(intent(question).alias("intent"), "scope", category(question, strict).alias("category"))
         .first()
     )
     scope, kind = row["scope"], row["category"]
@@ -244,16 +267,18 @@ def count_answers(
         "whole-counts",
     )
 
-    kind = category(F.col(text))
+    kind = F.col("_category")
+    counting = questions.where(intent(F.col(text)) == "count")
     read = (
-        questions.where(intent(F.col(text)) == "count")
-        .withColumn("scope", date_scope(F.col(text), as_of))
+        with_date_scope(counting, text, as_of)
+        .withColumn("_category", category(F.col(text)))
         .withColumn(
             "filter_key",
             F.when(kind.isNull(), "all")
             .when(kind["is_sport_exercise"], "sport")
             .otherwise(F.concat(F.lit("name:"), kind["activity_name"])),
         )
+        .drop("_category")
     )
     bounded = read.join(whole, "filter_key", "left").select(
         *[c for c in read.columns if c != "filter_key"],

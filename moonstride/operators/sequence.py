@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ def _sort_keys(columns: tuple[str, ...]) -> list[Column]:
 
 
 def _range_sorted(df: DataFrame, order: tuple[str, ...]) -> DataFrame:
-    """``df`` in global order, staged, with the place of each row in ``_slot``.
+    """``df`` in global order, staged, with the place of each row as ``_part`` and ``_row``.
 
     Range partitions split on all of ``order``: a time stamp (or null) held by a third of
     the rows is still spread over tasks by the tie-breaking id. The result is staged
@@ -28,72 +30,80 @@ def _range_sorted(df: DataFrame, order: tuple[str, ...]) -> DataFrame:
     same plan may cut elsewhere.
     """
     keys = _sort_keys(order)
+    slot = F.col("_slot")
     placed = (
         df.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn("_slot", F.monotonically_increasing_id())
     )
-    return stage(placed, "ordered")
-
-
-def _part(slot: str = "_slot") -> Column:
-    return F.shiftright(slot, _ROW_BITS)
-
-
-def _row(slot: str = "_slot") -> Column:
-    return F.col(slot) - F.shiftleft(F.shiftright(slot, _ROW_BITS), _ROW_BITS)
-
-
-def number_rows(df: DataFrame, order: tuple[str, ...], name: str) -> DataFrame:
-    """Add ``name``: 1, 2, 3, ... over all rows in ascending order, nulls last.
-
-    One range shuffle; the offsets have one row per partition.
-    """
-    placed = _range_sorted(df, order)
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = placed.groupBy(_part().alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
-    offsets = stage(
-        sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")),
-        "offsets",
-    )
-    return (
-        placed.withColumn("_part", _part())
-        .join(offsets, "_part")
-        .select(*df.columns, (F.col("_offset") + _row() + 1).alias(name))
+    part = F.shiftright(slot, _ROW_BITS)
+    return stage(placed, "ordered").select(
+        *df.columns, part.alias("_part"), (slot - F.shiftleft(part, _ROW_BITS)).alias("_row")
     )
 
 
-def number_by_time(df: DataFrame, moment: str, tie_breaker: str, name: str, name_of_day: str) -> DataFrame:
-    """Add a running number over all rows and one that restarts every day.
+def _add_numbers(placed: DataFrame, group: Column, name: str, name_in_group: str) -> DataFrame:
+    """Turn places into numbers, over all rows and within ``group``.
 
-    Both come from the same range shuffle on (moment, tie_breaker). In that order each day
-    is a run of neighbouring rows, so its first number is known from one small table with a
-    row per partition and day; a day with a third of all rows is never brought together.
-    Rows without a moment come last and count as one day.
+    ``group`` must not go back and forth in the sort order, so each group is a run of
+    neighbouring rows, in one or several parts. The runs (at most one per part plus one per
+    group) are counted and summed up; their table is small however large a group is.
     """
-    placed = _range_sorted(df, (moment, tie_breaker)).withColumn("_part", _part())
-    placed = placed.withColumn("_day", day_of(F.col(moment)))
-    runs = placed.groupBy("_part", "_day").agg(
-        F.count(F.lit(1)).alias("_rows"), F.min(_row()).alias("_first_row")
+    placed = placed.withColumn("_group", group)
+    runs = placed.groupBy("_part", "_group").agg(
+        F.count(F.lit(1)).alias("_rows"), F.min("_row").alias("_first_row")
     )
-    in_order = Window.orderBy("_part", "_first_row").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.withColumn("_before", F.coalesce(F.sum("_rows").over(in_order), F.lit(0)))
+    earlier = Window.orderBy("_part", "_first_row").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
     starts = stage(
         runs.select(
             F.col("_part").alias("_run_part"),
-            F.col("_day").alias("_run_day"),
-            (F.col("_before") - F.col("_first_row")).alias("_offset"),
-            F.min("_before").over(Window.partitionBy("_day")).alias("_before_day"),
+            F.col("_group").alias("_run_group"),
+            (F.col("_before") - F.col("_first_row") + 1).alias("_offset"),
+            F.min("_before").over(Window.partitionBy("_group")).alias("_before_group"),
         ),
-        "day-starts",
+        "run-starts",
     )
-    same_run = (F.col("_part") == F.col("_run_part")) & F.col("_day").eqNullSafe(F.col("_run_day"))
-    number = F.col("_offset") + _row() + 1
+    same_run = (F.col("_part") == F.col("_run_part")) & F.col("_group").eqNullSafe(F.col("_run_group"))
+    number = F.col("_offset") + F.col("_row")
+    kept = [c for c in placed.columns if c not in ("_part", "_row", "_group")]
     return placed.join(starts, same_run).select(
-        number.alias(name), (number - F.col("_before_day")).alias(name_of_day), *df.columns
+        number.alias(name), (number - F.col("_before_group")).alias(name_in_group), *kept
     )
 
 
+def _numbered(df: DataFrame, order: tuple[str, ...], group: Column, names: tuple[str, str]) -> DataFrame:
+    """Number ``df`` through its sort keys alone, and join the numbers back.
+
+    Only the keys are sorted and staged; the other columns are shuffled once, by the join,
+    and only those a query uses. That needs keys without repeats. Where the keys repeat,
+    or are all there is, whole rows are sorted instead.
+    """
+    if set(df.columns) <= set(order):
+        return _add_numbers(_range_sorted(df, order), group, *names)
+    keys = _range_sorted(df.groupBy(*order).agg(F.count(F.lit(1)).alias("_rows")), order)
+    if not keys.where(F.col("_rows") > 1).isEmpty():
+        return _add_numbers(_range_sorted(df, order), group, *names)
+    numbers = _add_numbers(keys.drop("_rows"), group, *names)
+    numbers = numbers.withColumnsRenamed({c: f"_key_{c}" for c in order})
+    on = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in order))
+    return df.join(numbers, on, "left").select(*names, *df.columns)
+
+
+def number_rows(df: DataFrame, order: tuple[str, ...], name: str) -> DataFrame:
+    """Add ``name``: 1, 2, 3, ... over all rows in ascending order, nulls last."""
+    return _numbered(df, order, F.lit(0), (name, "_in_group")).drop("_in_group")
+
+
+def number_by_time(df: DataFrame, moment: str, tie_breaker: str, name: str, name_of_day: str) -> DataFrame:
+    """Add a running number over all rows and one that restarts every day.
+
+    Both come from one sort on (moment, tie_breaker); a day with a third of all rows is
+    never brought together. Rows without a moment come last and count as one day.
+    """
+    return _numbered(df, (moment, tie_breaker), day_of(F.col(moment)), (name, name_of_day))
+
+
 def nth_of_day(df: DataFrame, moment: str, tie_breaker: str, n: int = 1) -> DataFrame:
     """The n-th row of every day, with its ``date_day``.
 

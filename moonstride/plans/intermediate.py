@@ -68,24 +68,19 @@ def activities(staged: DataFrame, mapping: DataFrame, names: Names = DEFAULT_NAM
     return _with_activity_name(shaped, mapping, "sport_type")
 
 
-def numbered_sleeps(staged: DataFrame, moon: DataFrame) -> DataFrame:
-    """Sleeps with running numbers, the night they belong to, hours and the moon of that night.
+def nights(staged: DataFrame, moon: DataFrame) -> DataFrame:
+    """Sleeps with the night they belong to, hours and the moon of that night.
 
-    The number of the day follows the day of the onset, not the night. Keeps the source's
-    id as ``source_sleep_id``.
+    The source's id becomes ``source_sleep_id``.
     """
-    source = staged.withColumnRenamed("sleep_id", "source_sleep_id")
-    numbered = number_by_time(source, "sleep_onset", "source_sleep_id", "sleep_id", "sleep_id_of_day")
 
     def both_units(*columns: str):
         for c in columns:
             yield F.col(c).alias(f"{c}_minutes")
             yield hours_from_minutes(F.col(c)).alias(f"{c}_hours")
 
-    shaped = numbered.select(
-        "source_sleep_id",
-        "sleep_id",
-        "sleep_id_of_day",
+    shaped = staged.select(
+        F.col("sleep_id").alias("source_sleep_id"),
         night_date(F.col("sleep_onset"), F.col("nap")).alias("date_day"),
         day_of(F.col("sleep_onset")).alias("sleep_start_date"),
         "sleep_onset",
@@ -115,6 +110,12 @@ def numbered_sleeps(staged: DataFrame, moon: DataFrame) -> DataFrame:
     return left_lookup(shaped, night, "date_day", "date_day")
 
 
+def numbered_sleeps(staged: DataFrame, moon: DataFrame) -> DataFrame:
+    """``nights`` with running numbers; that of the day follows the onset, not the night."""
+    dated = nights(staged, moon)
+    return number_by_time(dated, "sleep_onset", "source_sleep_id", "sleep_id", "sleep_id_of_day")
+
+
 def sleeps(staged: DataFrame, moon: DataFrame) -> DataFrame:
     return numbered_sleeps(staged, moon).drop("source_sleep_id")
 
