@@ -58,6 +58,10 @@ def with_date_scope(
     def word(pattern: str, group: int = 1) -> Column:
         return F.regexp_extract(lowered, pattern, group)
 
+    def days_back() -> Column:
+        # the plain search is the cheaper one and settles most texts
+        return F.when(lowered.contains("last") | lowered.contains("past"), word(_LAST_DAYS)).otherwise("")
+
     # the patterns run once per text, in a projection of their own
     found = questions.select(
         "*",
@@ -66,7 +70,7 @@ def with_date_scope(
         word(_IN_MONTH).alias("_lone"),
         (F.lit("") if strict else word(_IN_MONTH_MARK)).alias("_marked"),
         word(_IN_YEAR).alias("_year"),
-        word(_LAST_DAYS).alias("_days"),
+        days_back().alias("_days"),
         lowered.contains("this month").alias("_this_month"),
         lowered.contains("this year").alias("_this_year"),
     )
@@ -115,9 +119,9 @@ def with_date_scope(
 
 
 def _mentions(text: Column, words: tuple[str, ...], strict: bool) -> Column:
-    if strict:
-        return reduce(lambda a, b: a | b, (text.contains(word) for word in words))
-    return text.rlike(f"(^|[^a-z])({'|'.join(words)})")
+    anywhere = reduce(lambda a, b: a | b, (text.contains(word) for word in words))
+    # the plain search is the cheaper one and settles most texts
+    return anywhere if strict else anywhere & text.rlike(f"(^|[^a-z])({'|'.join(words)})")
 
 
 def category(question: Column, strict: bool = False) -> Column:
@@ -254,17 +258,11 @@ def count_answers(
         .select("filter_key", "date_day", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")),
         "running-counts",
     )
-    months = stage(
-        dated.groupBy("filter_key", F.month("date_day").alias("month")).agg(F.sum("n").alias("in_month")),
-        "month-counts",
-    )
-    whole = stage(
-        daily.groupBy("filter_key").agg(
-            F.sum("n").alias("in_all"),
-            F.min("date_day").alias("first_day"),
-            F.date_add(F.max("date_day"), 1).alias("past_day"),
-        ),
-        "whole-counts",
+    months = dated.groupBy("filter_key", F.month("date_day").alias("month")).agg(F.sum("n").alias("in_month"))
+    whole = daily.groupBy("filter_key").agg(
+        F.sum("n").alias("in_all"),
+        F.min("date_day").alias("first_day"),
+        F.date_add(F.max("date_day"), 1).alias("past_day"),
     )
 
     kind = F.col("_category")
