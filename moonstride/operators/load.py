@@ -31,6 +31,7 @@ def append_new(batch: DataFrame, table: str, id_column: str, path: str | None =
     spark = batch.sparkSession
     rows = batch
     if spark.catalog.tableExists(table):
+        spark.catalog.refreshTable(table)  # another session may have written
         target = spark.table(table)
         rows = unseen(batch, target, id_column).select(*target.columns)
     seen = Observation()

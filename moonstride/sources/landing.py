@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -26,13 +26,13 @@ def _raw_scan(spark: SparkSession, path: str | list[str], schema: str, json_arra
     )
 
 
-def _unparsed(df: DataFrame):
-    """True where nothing of the record could be read (a field of a wrong type is only null)."""
-    empty = F.lit(True)
-    for name in df.columns:
-        if name != _CORRUPT:
-            empty = empty & F.col(f"`{name}`").isNull()
-    return F.col(_CORRUPT).isNotNull() & empty
+def _unparsed(records: DataFrame) -> Column:
+    """True where the text is no JSON (a field of a wrong type is only null).
+
+    Spark wants a data column next to that of the text; all of them are null then.
+    """
+    text, field = F.col(_CORRUPT), F.col(f"`{records.columns[0]}`")
+    return text.isNotNull() & field.isNull() & F.get_json_object(text, "$").isNull()
 
 
 def read_landing(

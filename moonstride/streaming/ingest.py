@@ -55,6 +55,8 @@ def ingest_landing(
 
     def load(batch: DataFrame, _batch_id: int) -> None:
         append_new(keep_first_file(batch, id_column), table, id_column, path)
+        # batches run in a session of their own; the caller's must list the new files
+        records.sparkSession.catalog.refreshTable(table)
 
     return (
         records.writeStream.foreachBatch(load)
