@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moonstride.catalog.registry import Tables, query
 from moonstride.operators.load import append_new
-from moonstride.operators.sinks import as_records, create_view, rebuild_table, write_records
+from moonstride.operators.sinks import as_records, create_view, rebuild_table, write_records, write_snapshot
 from moonstride.operators.summary import count_per
 from moonstride.session import scratch_path
 from moonstride.sources.landing import SECOND_STAMP, read_landing, read_newest
@@ -52,8 +53,8 @@ def sc_newest_snapshot(t: Tables) -> DataFrame:
     """Of three snapshots the newest with a real stamp counts; it holds all events."""
     folder = scratch_path(t.spark, "snapshots")
     events = _as_text_time(t.events)
-    write_records(events.where("event_type = 'view'"), f"{folder}/events_20240101_000000.json")
-    write_records(events, f"{folder}/events_20240131_120000.json")
+    write_snapshot(events.where("event_type = 'view'"), folder, "events", datetime(2024, 1, 1))
+    write_snapshot(events, folder, "events", datetime(2024, 1, 31, 12))
     write_records(events.where("event_type = 'error'"), f"{folder}/events_20249999_000000.json")
     return _typed(read_newest(t.spark, folder, "events", _EVENT_RECORD, SECOND_STAMP, json_array=False))
 

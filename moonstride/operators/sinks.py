@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +60,19 @@ def write_records(df: DataFrame, path: str) -> None:
     df.write.json(path)
 
 
+def write_snapshot(df: DataFrame, folder: str, prefix: str, taken_at: datetime, by_day: bool = False) -> str:
+    """Records under a stamped name, as ``newest_snapshot`` finds them; returns the path."""
+    stamp = taken_at.strftime("%Y-%m-%d" if by_day else "%Y%m%d_%H%M%S")
+    path = f"{folder}/{prefix}_{stamp}.json"
+    write_records(df, path)
+    return path
+
+
+def fetch_records(df: DataFrame, limit: int) -> list[dict]:
+    """At most ``limit`` rows as dictionaries, for a caller outside Spark."""
+    return [row.asDict(recursive=True) for row in df.limit(limit).collect()]
+
+
 def as_records(df: DataFrame) -> DataFrame:
     """Each row as one JSON object with all its fields, nulls included."""
     whole = F.struct(*(F.col(c) for c in df.columns))

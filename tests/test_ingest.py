@@ -3,12 +3,14 @@
 import json
 import os
 import uuid
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from moonstride.operators.load import append_new, unseen
-from moonstride.operators.sinks import as_records, schema_for, write_records
+from moonstride.operators.sinks import as_records, fetch_records, schema_for, write_records, write_snapshot
+from moonstride.plans.loading import KINDS, load_newest
 from moonstride.sources import (
     newest_snapshot,
     read_activity_mapping,
@@ -172,6 +174,37 @@ def test_first_file_wins_whatever_its_size(spark):
     assert sorted((tuple(r) for r in kept), key=str) == [(1, 0, 100), (None, 1, 2)]
 
 
+def test_kinds_are_loaded_from_their_newest_snapshot(spark, tmp_path, table):
+    folder = tmp_path / "landing"
+    folder.mkdir()
+
+    def load(kind):
+        name = f"{table}_{kind}"
+        added = load_newest(spark, str(folder), kind, name, str(tmp_path / name))
+        return added, contents(spark.table(name), KINDS[kind].id_column) if spark.catalog.tableExists(name) else None
+
+    assert load("cycles") == (0, None)
+    put(folder, "activities_20240101_120000.json", [{"id": 1, "name": "a", "start_latlng": [1.0, 2.0]}, {"id": 2}])
+    assert load("activities") == (2, [(1,), (2,)])
+    put(folder, "activities_20240102_120000.json", [{"id": 2, "name": "changed"}, {"id": 3}])
+    assert load("activities") == (1, [(1,), (2,), (3,)])
+    assert load("activities") == (0, [(1,), (2,), (3,)])
+    assert contents(spark.table(f"{table}_activities").where("activity_id = 2"), "name") == [(None,)]
+    for kind in ("cycles", "recoveries", "sleeps", "workouts"):
+        put(folder, f"{kind}_2024-01-02.json", [{KINDS[kind].id_column: 5}])
+        assert load(kind)[0] == 1
+        assert load(kind)[0] == 0
+
+
+def test_snapshots_are_named_for_the_reader(spark, tmp_path):
+    records = spark.createDataFrame([(1,)], "id bigint")
+    folder = str(tmp_path)
+    for day in (1, 3, 2):
+        write_snapshot(records, folder, "sleeps", datetime(2024, 1, day), by_day=True)
+    assert newest_snapshot(spark, folder, "sleeps", DAY_STAMP).endswith("sleeps_2024-01-03.json")
+    assert fetch_records(records, 5) == [{"id": 1}]
+
+
 def test_schema_routing():
     assert schema_for("x", explicit=" seeds ") == "seeds"
     assert schema_for("fct_body_sleeps", "track") == "body"
