@@ -76,18 +76,22 @@ def _numbered(df: DataFrame, order: tuple[str, ...], group: Column, names: tuple
     """Number ``df`` through its sort keys alone, and join the numbers back.
 
     Only the keys are sorted and staged; the other columns are shuffled once, by the join,
-    and only those a query uses. That needs keys without repeats. Where the keys repeat,
-    or are all there is, whole rows are sorted instead.
+    and only those a query uses. That needs keys without repeats. Where they repeat, the
+    rows are staged with a row id, which then is the last sort key: copies of one key are
+    spread over tasks as well.
     """
-    if set(df.columns) <= set(order):
-        return _add_numbers(_range_sorted(df, order), group, *names)
-    keys = _range_sorted(df.groupBy(*order).agg(F.count(F.lit(1)).alias("_rows")), order)
-    if not keys.where(F.col("_rows") > 1).isEmpty():
-        return _add_numbers(_range_sorted(df, order), group, *names)
-    numbers = _add_numbers(keys.drop("_rows"), group, *names)
-    numbers = numbers.withColumnsRenamed({c: f"_key_{c}" for c in order})
+    rows, columns = df, df.columns
+    placed = _range_sorted(df.groupBy(*order).agg(F.count(F.lit(1)).alias("_rows")), order)
+    if not placed.where(F.col("_rows") > 1).isEmpty():
+        rows = stage(df.withColumn("_copy", F.monotonically_increasing_id()), "copies")
+        order = (*order, "_copy")
+        placed = _range_sorted(rows.select(*order), order)
+    numbers = _add_numbers(placed, group, *names)
+    if set(columns) <= set(order):
+        return numbers.select(*names, *columns)
+    numbers = numbers.select(*names, *(F.col(c).alias(f"_key_{c}") for c in order))
     on = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in order))
-    return df.join(numbers, on, "left").select(*names, *df.columns)
+    return rows.join(numbers, on, "left").select(*names, *columns)
 
 
 def number_rows(df: DataFrame, order: tuple[str, ...], name: str) -> DataFrame:

@@ -86,6 +86,30 @@ def test_repeated_ids_keep_every_row(spark):
     assert all(sorted(v) == list(range(1, len(v) + 1)) for v in by_day.values())
 
 
+def test_copies_of_one_key_are_spread(spark, monkeypatch):
+    """Half of the rows have neither time nor id, and no task gets them all."""
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    parts = []
+    sort = sequence._range_sorted
+
+    def watched(df, order):
+        placed = sort(df, order)
+        parts.append([r["n"] for r in placed.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()])
+        return placed
+
+    monkeypatch.setattr(sequence, "_range_sorted", watched)
+    try:
+        rows = [(i, START + timedelta(hours=i)) if i % 2 else (None, None) for i in range(4000)]
+        df = spark.createDataFrame(rows, "id long, ts timestamp_ntz")
+        got = number_by_time(df, "ts", "id", "n", "d").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert sorted(r["n"] for r in got) == list(range(1, 4001))
+    assert sorted(r["d"] for r in got if r["ts"] is None) == list(range(1, 2001))
+    assert sum(parts[-1]) == 4000 and max(parts[-1]) < 1000
+
+
 def test_one_null_id_is_numbered(spark):
     rows = [(1, START, "a"), (None, START, "b"), (2, None, "c")]
     df = spark.createDataFrame(rows, "id long, ts timestamp_ntz, payload string")
