@@ -240,10 +240,11 @@ def count_answers(
     date range into the difference of two totals, found by equality joins; questions and
     facts never meet row by row. The totals have a row per day and filter name.
     """
+    per_day = fact.groupBy("date_day", "activity_name", "is_sport_exercise").agg(F.count(F.lit(1)).alias("n"))
     daily = stage(
-        fact.select("date_day", F.explode(_filter_keys()).alias("filter_key"))
+        per_day.select("date_day", "n", F.explode(_filter_keys()).alias("filter_key"))
         .groupBy("filter_key", "date_day")
-        .agg(F.count(F.lit(1)).alias("n")),
+        .agg(F.sum("n").alias("n")),
         "daily-counts",
     )
     dated = daily.where(F.col("date_day").isNotNull())

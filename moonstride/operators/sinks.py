@@ -34,7 +34,13 @@ def schema_for(
 def rebuild_table(
     df: DataFrame, name: str, path: str | None = None, partition_by: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Replace a table by the query's result and return the table."""
+    """Replace a table by the query's result and return the table.
+
+    Rows of one table partition are brought together, so it gets few files; adaptive
+    execution splits those that are too large for a task.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.format("parquet").mode("overwrite")
     if path:
         writer = writer.option("path", path)

@@ -17,15 +17,29 @@ DEFAULTS = {
 }
 
 
-def build_session(app: str = "moonstride", master: str | None = None, **conf: str) -> SparkSession:
+# what one task of a shuffle should read; adaptive execution merges smaller ones
+SHUFFLE_BYTES_PER_TASK = 128 * 1024 * 1024
+MAX_SHUFFLE_TASKS = 100_000
+
+
+def shuffle_tasks(data_bytes: int) -> int:
+    """Initial number of shuffle partitions for this much data."""
+    return min(max(-(-data_bytes // SHUFFLE_BYTES_PER_TASK), 200), MAX_SHUFFLE_TASKS)
+
+
+def build_session(
+    app: str = "moonstride", master: str | None = None, data_bytes: int | None = None, **conf: str
+) -> SparkSession:
     """Session with the settings the library expects; ``conf`` overrides them.
 
-    Dots in keyword names are written as ``__``.
+    ``data_bytes`` is the size of the largest table, from which the number of shuffle
+    partitions follows. Dots in keyword names are written as ``__``.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = DEFAULTS | {key.replace("__", "."): value for key, value in conf.items()}
+    sized = {} if data_bytes is None else {"spark.sql.shuffle.partitions": str(shuffle_tasks(data_bytes))}
+    settings = DEFAULTS | sized | {key.replace("__", "."): value for key, value in conf.items()}
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from moonstride.operators.load import append_new
+from moonstride.session import stage
 
 _FILE, _WRITTEN = "_landing_file", "_landing_time"
 
@@ -54,7 +55,9 @@ def ingest_landing(
     """
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        append_new(keep_first_file(batch, id_column), table, id_column, path)
+        # the load reads its batch several times; staged, the JSON is parsed once
+        arrived = stage(batch, "micro-batch")
+        append_new(keep_first_file(arrived, id_column), table, id_column, path)
         # batches run in a session of their own; the caller's must list the new files
         records.sparkSession.catalog.refreshTable(table)
 

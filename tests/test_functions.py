@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from moonstride import functions as fn
 from moonstride.plans.staging import flatten_activities
+from moonstride.session import shuffle_tasks
 
 
 def values(spark, schema, rows, *columns):
@@ -106,3 +107,9 @@ def test_flatten_guards_arrays(spark):
     expected = [(None, None, None, None), (None, None, 1.0, 2.0), (5.0, None, None, None)]
     assert [tuple(r) for r in coordinates] == expected
     assert flat.select("extracted_at").distinct().count() == 1
+
+
+def test_shuffles_are_sized_for_the_data():
+    assert shuffle_tasks(1) == 200
+    assert shuffle_tasks(10 * 2**40) == 81920
+    assert shuffle_tasks(10**18) == 100_000
