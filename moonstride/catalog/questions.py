@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from moonstride.catalog.registry import Tables, query
 from moonstride.functions.text import MONTH_SPELLINGS
 from moonstride.operators import questions as q
+from moonstride.session import stage
 
 AS_OF = date(2001, 7, 15)
 
@@ -235,6 +236,6 @@ def qn_latest(t: Tables) -> DataFrame:
       AND a.past_end IS NOT DISTINCT FROM w.past_end AND a.month IS NOT DISTINCT FROM w.month
       AND a.found IS NOT DISTINCT FROM w.found""")
 def qn_batch_counts(t: Tables) -> DataFrame:
-    """Answer every counting question in one job."""
-    asked = question_texts(t.orders)
+    """Answer every counting question of a stored table in one job."""
+    asked = stage(question_texts(t.orders), "questions")
     return q.count_answers(asked, order_activities(t.orders), as_of=F.lit(AS_OF))
