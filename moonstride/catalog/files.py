@@ -45,7 +45,17 @@ def sc_json_landing(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "landing")
     record = F.struct(*_as_text_time(t.events).columns)
     _as_text_time(t.events).select(F.to_json(F.array(record)).alias("value")).write.text(path)
-    return _typed(read_landing(t.spark, path, _EVENT_RECORD, json_array=False))
+    return _typed(read_landing(t.spark, path, _EVENT_RECORD, form="lines"))
+
+
+@query(_EVENTS)
+def sc_indented_landing(t: Tables) -> DataFrame:
+    """Records laid out as elements of an indented array, read back in pieces."""
+    path = scratch_path(t.spark, "indented")
+    record = F.to_json(F.struct(*_as_text_time(t.events).columns), {"pretty": "true"})
+    element = F.regexp_replace(record, "\n", "\n  ")
+    _as_text_time(t.events).select(element.alias("value")).write.option("lineSep", ",\n  ").text(path)
+    return _typed(read_landing(t.spark, path, _EVENT_RECORD, form="indented"))
 
 
 @query(_EVENTS)
@@ -56,7 +66,7 @@ def sc_newest_snapshot(t: Tables) -> DataFrame:
     write_snapshot(events.where("event_type = 'view'"), folder, "events", datetime(2024, 1, 1))
     write_snapshot(events, folder, "events", datetime(2024, 1, 31, 12))
     write_records(events.where("event_type = 'error'"), f"{folder}/events_20249999_000000.json")
-    return _typed(read_newest(t.spark, folder, "events", _EVENT_RECORD, SECOND_STAMP, json_array=False))
+    return _typed(read_newest(t.spark, folder, "events", _EVENT_RECORD, SECOND_STAMP, form="lines"))
 
 
 @query("""
@@ -134,7 +144,7 @@ def sk_json_round_trip(t: Tables) -> DataFrame:
     """Records written as JSON lines and read back."""
     path = scratch_path(t.spark, "records")
     write_records(_as_text_time(t.events), path)
-    return _typed(read_landing(t.spark, path, _EVENT_RECORD, json_array=False))
+    return _typed(read_landing(t.spark, path, _EVENT_RECORD, form="lines"))
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")

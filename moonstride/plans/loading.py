@@ -32,17 +32,18 @@ KINDS = {
 
 
 def load_newest(
-    spark: SparkSession, folder: str, kind: str, table: str, path: str | None = None, json_array: bool = True
+    spark: SparkSession, folder: str, kind: str, table: str, path: str | None = None, form: str = "indented"
 ) -> int:
     """Load the newest snapshot of a kind into its raw table; returns the rows added.
 
-    Known ids stay as they are. Without a snapshot nothing happens.
+    Known ids stay as they are. Without a snapshot nothing happens. ``form`` is that of
+    ``read_landing``; the default is how the extracts are written.
     """
     rules = KINDS[kind]
     snapshot = newest_snapshot(spark, folder, kind, rules.stamp)
     if snapshot is None:
         return 0
-    records = read_landing(spark, snapshot, rules.layout, json_array)
+    records = read_landing(spark, snapshot, rules.layout, form)
     if rules.is_activity:
         records = flatten_activities(records)
     return append_new(records, table, rules.id_column, path)

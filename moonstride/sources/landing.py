@@ -13,14 +13,16 @@ from pyspark.sql.utils import AnalysisException
 SECOND_STAMP = (r"\d{8}_\d{6}", "yyyyMMdd_HHmmss")
 DAY_STAMP = (r"\d{4}-\d{2}-\d{2}", "yyyy-MM-dd")
 
+END_OF_ELEMENT = "\n  },"
+
 _CORRUPT = "_unparsed"
 
 
-def _raw_scan(spark: SparkSession, path: str | list[str], schema: str, json_array: bool) -> DataFrame:
+def _raw_scan(spark: SparkSession, path: str | list[str], schema: str, form: str) -> DataFrame:
     layout = T.StructType.fromDDL(schema).add(_CORRUPT, T.StringType())
     return (
         spark.read.schema(layout)
-        .option("multiLine", json_array)
+        .option("multiLine", form == "array")
         .option("columnNameOfCorruptRecord", _CORRUPT)
         .json(path)
     )
@@ -35,30 +37,54 @@ def _unparsed(records: DataFrame) -> Column:
     return text.isNotNull() & field.isNull() & F.get_json_object(text, "$").isNull()
 
 
+def parse_pieces(schema: str) -> Column:
+    """Array of the records in a piece of an indented array, or null.
+
+    The file was cut where an element of its array ends (``END_OF_ELEMENT``). With an
+    indent of two blanks that text occurs nowhere else, since JSON strings hold no bare
+    line breaks. A piece lacks the brackets its neighbours hold.
+    """
+    piece = F.col("value")
+    opens = piece.rlike(r"^\s*\[")
+    on_one_line = piece.rlike(r"^\s*\[[^\r\n]")
+    closes = piece.rlike(r"\n\]\s*$") | on_one_line
+    array = F.concat(F.when(opens, "").otherwise("["), piece, F.when(closes, "").otherwise("}]"))
+    return F.from_json(array, T.ArrayType(T.StructType.fromDDL(schema)))
+
+
+def _indented_records(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
+    pieces = spark.read.option("lineSep", END_OF_ELEMENT).text(path).where(F.col("value").rlike(r"\S"))
+    return pieces.select(
+        parse_pieces(schema).alias("records"), F.col("_metadata.file_path").alias("file_path")
+    )
+
+
 def read_landing(
-    spark: SparkSession, path: str | list[str], schema: str, json_array: bool = True
+    spark: SparkSession, path: str | list[str], schema: str, form: str = "array"
 ) -> DataFrame:
-    """Records of JSON landing files; a file that is not JSON yields none.
+    """Records of JSON landing files; text that is not JSON yields none.
 
-    ``json_array=True`` reads files that each hold one array over several lines. Spark
-    cannot split such a file, so one task reads one file. Large exports should hold one
-    record, or one array, per line: ``json_array=False`` reads those in splits.
+    ``form`` says what a file holds: ``array`` one array, laid out in any way, which one
+    task reads whole; ``indented`` one array indented by two blanks; ``lines`` a record or
+    an array per line. Spark splits files of the last two forms over tasks.
     """
-    records = _raw_scan(spark, path, schema, json_array)
+    if form == "indented":
+        return _indented_records(spark, path, schema).select(F.inline("records"))
+    records = _raw_scan(spark, path, schema, form)
     return records.where(~_unparsed(records)).drop(_CORRUPT)
 
 
 def unreadable_files(
-    spark: SparkSession, path: str | list[str], schema: str, json_array: bool = True
+    spark: SparkSession, path: str | list[str], schema: str, form: str = "array"
 ) -> DataFrame:
-    """Names of the files with records that ``read_landing`` leaves out, for a warning."""
-    records = _raw_scan(spark, path, schema, json_array)
-    return (
-        records.select("*", F.col("_metadata.file_path").alias("file_path"))
-        .where(_unparsed(records))
-        .groupBy("file_path")
-        .agg(F.count(F.lit(1)).alias("unreadable_records"))
-    )
+    """Names of the files with text that ``read_landing`` leaves out, for a warning."""
+    if form == "indented":
+        unread = _indented_records(spark, path, schema).where(F.col("records").isNull())
+    else:
+        records = _raw_scan(spark, path, schema, form)
+        located = records.select("*", F.col("_metadata.file_path").alias("file_path"))
+        unread = located.where(_unparsed(records))
+    return unread.groupBy("file_path").agg(F.count(F.lit(1)).alias("unreadable_records"))
 
 
 def newest_snapshot(
@@ -97,10 +123,10 @@ def read_newest(
     prefix: str,
     schema: str,
     stamp: tuple[str, str] = SECOND_STAMP,
-    json_array: bool = True,
+    form: str = "array",
 ) -> DataFrame:
     """Records of the newest snapshot; an empty frame if there is none."""
     path = newest_snapshot(spark, folder, prefix, stamp)
     if path is None:
         return spark.createDataFrame([], T.StructType.fromDDL(schema))
-    return read_landing(spark, path, schema, json_array)
+    return read_landing(spark, path, schema, form)

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from moonstride.operators.load import append_new
 from moonstride.session import stage
+from moonstride.sources.landing import END_OF_ELEMENT, parse_pieces
 
 _FILE, _WRITTEN = "_landing_file", "_landing_time"
 
@@ -16,22 +17,22 @@ def stream_landing(
     spark: SparkSession,
     folder: str,
     schema: str,
-    json_array: bool = False,
+    form: str = "lines",
     max_files_per_trigger: int = 1000,
 ) -> DataFrame:
-    """Records of files as they land, each with the file it came from."""
-    return (
-        spark.readStream.schema(schema)
-        .option("multiLine", json_array)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .option("recursiveFileLookup", True)
-        .json(folder)
-        .select(
-            "*",
-            F.col("_metadata.file_modification_time").alias(_WRITTEN),
-            F.col("_metadata.file_path").alias(_FILE),
-        )
+    """Records of files as they land, each with the file it came from; ``form`` as in ``read_landing``."""
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).option(
+        "recursiveFileLookup", True
+    )
+    origin = (
+        F.col("_metadata.file_modification_time").alias(_WRITTEN),
+        F.col("_metadata.file_path").alias(_FILE),
     )
+    if form == "indented":
+        pieces = reader.option("lineSep", END_OF_ELEMENT).text(folder).where(F.col("value").rlike(r"\S"))
+        parsed = pieces.select(parse_pieces(schema).alias("records"), *origin)
+        return parsed.select(F.inline("records"), _WRITTEN, _FILE)
+    return reader.schema(schema).option("multiLine", form == "array").json(folder).select("*", *origin)
 
 
 def keep_first_file(batch: DataFrame, id_column: str) -> DataFrame:

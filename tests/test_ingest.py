@@ -52,7 +52,7 @@ def test_json_array_over_several_lines(spark, tmp_path):
 
 def test_array_per_line(spark, tmp_path):
     put(tmp_path, "a.json", '[{"id": 1}, {"id": 2}]\n{"id": 3}\n')
-    df = read_landing(spark, str(tmp_path), SCHEMA, json_array=False)
+    df = read_landing(spark, str(tmp_path), SCHEMA, form="lines")
     assert contents(df, "id") == [(1,), (2,), (3,)]
 
 
@@ -68,6 +68,44 @@ def test_unreadable_file_gives_no_rows_and_its_name(spark, tmp_path):
     assert found == [("bad.json", 1), ("cut.json", 1)]
 
 
+def test_indented_array_is_read_in_pieces(spark, tmp_path):
+    records = [
+        {
+            "id": i,
+            "name": "},\n  }, [" if i % 2 else None,
+            "score": {"zones": {"a": i}, "list": [{"x": 1}, {"x": 2}]},
+            "distance": i / 4,
+            "end": [[1.0], []] if i % 3 else [],
+        }
+        for i in range(2000)
+    ]
+    schema = SCHEMA + ", score struct<zones: struct<a: bigint>, list: array<struct<x: bigint>>>, end array<array<double>>"
+    path = put(tmp_path, "big.json", records)
+    with open(tmp_path / "windows.json", "w", newline="\r\n") as file:
+        json.dump([{"id": 9001}, {"id": 9002, "distance": 0.5}], file, indent=2)
+    put(tmp_path, "one.json", [{"id": 9003, "distance": "far", "name": "x"}])
+    put(tmp_path, "none.json", [])
+    put(tmp_path, "flat.json", '[{"id": 9004}, {"id": 9005}]')
+    put(tmp_path, "last.json", json.dumps([{"id": 9006}], indent=2) + "\n")
+    put(tmp_path, "bad.json", "no json at all")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        pieces = read_landing(spark, path, schema, form="indented")
+        assert pieces.rdd.getNumPartitions() > 5
+        assert contents(pieces, *pieces.columns) == contents(read_landing(spark, path, schema), *pieces.columns)
+        assert pieces.count() == 2000
+        everything = read_landing(spark, str(tmp_path), schema, form="indented")
+        small = everything.where("id > 9000")
+        assert contents(small, "id", "distance") == [
+            (9001, None), (9002, 0.5), (9003, None), (9004, None), (9005, None), (9006, None),
+        ]
+        bad = unreadable_files(spark, str(tmp_path), schema, form="indented").collect()
+        assert [os.path.basename(r["file_path"]) for r in bad] == ["bad.json"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_nested_records(spark, tmp_path):
     put(tmp_path, "s.json", [{"id": "s1", "score": {"stage_summary": {"total_in_bed_time_milli": 5}}}, {"id": "s2"}])
     df = read_landing(spark, str(tmp_path), SLEEP)
@@ -93,7 +131,7 @@ def test_newest_snapshot(spark, tmp_path):
 def test_snapshot_of_several_part_files(spark, tmp_path):
     df = spark.range(100).withColumn("name", F.lit("x")).repartition(4)
     write_records(df, f"{tmp_path}/activities_20240301_080000.json")
-    got = read_newest(spark, str(tmp_path), "activities", SCHEMA, json_array=False)
+    got = read_newest(spark, str(tmp_path), "activities", SCHEMA, form="lines")
     assert got.count() == 100
 
 
@@ -165,6 +203,18 @@ def test_stream_appends_only_unseen_ids(spark, tmp_path, table):
     assert run("c2") == sorted(loaded, key=str)
 
 
+@pytest.mark.parametrize("form", ["indented", "array"])
+def test_stream_reads_arrays(spark, tmp_path, table, form):
+    drops = tmp_path / "drops"
+    drops.mkdir()
+    put(drops, "a.json", [{"id": i, "name": "x"} for i in range(50)])
+    put(drops, "b.json", [{"id": 50}])
+    records = stream_landing(spark, str(drops), SCHEMA, form)
+    ingest_landing(records, table, "id", str(tmp_path / "c"), str(tmp_path / "t")).awaitTermination()
+    assert contents(spark.table(table).where("name is null or id = 49"), "id") == [(49,), (50,)]
+    assert spark.table(table).count() == 51
+
+
 def test_first_file_wins_whatever_its_size(spark):
     rows = [(1, f"f{n % 3}", n % 3) for n in range(300)] + [(None, "f2", 2), (None, "f1", 1), (None, "f1", 1)]
     batch = spark.createDataFrame(rows, "id int, _landing_file string, n int").withColumn(
