@@ -216,7 +216,8 @@ def model_data_check(t: Tables) -> DataFrame:
         CASE WHEN r.event_id IS NOT NULL THEN CAST(96.5 AS DOUBLE) END AS blood_oxygen,
         s.* EXCLUDE (source_sleep_id, nap)
     FROM events c
-    LEFT JOIN (SELECT * FROM events WHERE event_id % 3 <> 0) r ON c.event_id = r.event_id
+    LEFT JOIN (SELECT *, CASE WHEN event_id % 3 = 0 THEN -event_id - 1 ELSE event_id END AS cycle_id
+               FROM events) r ON c.event_id = r.cycle_id
     LEFT JOIN {SLEEP_SQL} s
         ON CASE WHEN r.event_id % 4 <> 0 THEN CAST(r.event_id AS VARCHAR) END = s.source_sleep_id""")
 def model_cycles(t: Tables) -> DataFrame:
