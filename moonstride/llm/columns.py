@@ -28,8 +28,8 @@ def crc_of_id(column: str = "doc_id"):
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of all texts, and where each begins (one entry more than texts); null reads as empty."""
-    column = pc.fill_null(column, "")
+    """The bytes of all texts (or binaries), and where each begins (one entry more); null reads as empty."""
+    column = pc.fill_null(column, b"" if pa.types.is_binary(column.type) else "")
     if len(column) == 0:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     wide = pa.types.is_large_string(column.type)

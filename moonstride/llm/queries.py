@@ -37,7 +37,36 @@ def op1_token_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return token_blocks.tokens_through_files(read_table(spark, folder, "documents"), TOKENIZER, END_ID)
 
 
+@query
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents outside repeated windows of 35."""
+    return substring_dedup.remove_repeats(read_table(spark, folder, "documents"))
+
+
 @query
 def op3_bpe_automaton(spark: SparkSession, folder: str) -> DataFrame:
     """All documents encoded and decoded by the automaton."""
     return bpe_automaton.encode_and_decode(read_table(spark, folder, "documents"), TOKENIZER)
+
+
+@query
+def op7_benchmark_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark passages in all documents."""
+    found = decontamination.find_passages(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+    items = F.sha2(F.concat_ws(",", "items"), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", items.alias("items_sha256"), "contaminated", "spans")
+
+
+@query
+def op9_language_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Languages of all documents, learned from three quarters of them."""
+    docs = read_table(spark, folder, "documents")
+    held_out = F.coalesce(F.pmod(crc_of_id(), F.lit(4)) == 2, F.lit(False))
+    found = language_codes.identify(docs, language_codes.fit(docs.where(~held_out)))
+    return found.withColumn("held_out", held_out).select("doc_id", "held_out", "lang_pred", "score", "second", "ambiguous")
+
+
+@query
+def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of near duplicates among all documents."""
+    return jaccard_trie.near_duplicates(read_table(spark, folder, "documents"))
