@@ -49,6 +49,24 @@ def op3_bpe_automaton(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_automaton.encode_and_decode(read_table(spark, folder, "documents"), TOKENIZER)
 
 
+@query
+def op4_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """Measurements, base verdict and the prose policy's verdict for all documents."""
+    ledger = quality_ledger.build_ledger(read_table(spark, folder, "documents"))
+    judged = quality_ledger.apply_policy(ledger, quality_ledger.PROSE)
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        quality_ledger.fails(quality_ledger.BASE).alias("base_failed"), "kept", "failures",
+    )
+
+
+@query
+def op5_line_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the lines they share with higher ids."""
+    found = line_runs.drop_shared_lines(read_table(spark, folder, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op7_benchmark_passages(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark passages in all documents."""
@@ -57,6 +75,14 @@ def op7_benchmark_passages(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", items.alias("items_sha256"), "contaminated", "spans")
 
 
+@query
+def op8_katz_backoff(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents scored by the bigram model of four fifths of them."""
+    training = F.pmod(crc_of_id(), F.lit(5)) != 1
+    found = katz.score_texts(read_table(spark, folder, "documents"), F.coalesce(training, F.lit(True)))
+    return found.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op9_language_codes(spark: SparkSession, folder: str) -> DataFrame:
     """Languages of all documents, learned from three quarters of them."""
