@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moonstride.llm import bpe_automaton, token_blocks
+from moonstride.llm import (
+    bpe_automaton,
+    decontamination,
+    jaccard_trie,
+    katz,
+    language_codes,
+    line_runs,
+    quality_ledger,
+    substring_dedup,
+    token_blocks,
+)
+from moonstride.llm.columns import crc_of_id
 from moonstride.llm.shipping import ship_library
 from moonstride.sources.tables import read_table
 
