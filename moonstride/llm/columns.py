@@ -7,10 +7,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as the struct ``row``, where their names clash with nothing."""
+    names = [c.replace("`", "``") for c in docs.columns]
+    return F.struct(*(F.col(f"`{c}`") for c in names)).alias("row")
+
+
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """``doc_id`` (long) and ``text``; with ``carry`` also the whole row as the struct ``row``.
 
@@ -18,7 +24,7 @@ def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ca
     """
     columns = [F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")]
     if carry:
-        columns.append(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+        columns.append(whole_row(docs))
     return docs.select(*columns)
 
 

@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from moonstride.llm.columns import whole_row
 from moonstride.session import scratch_path, stage
 
 _KEY = ["h1", "h2"]
@@ -88,7 +89,7 @@ def drop_shared_lines(
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")] if carry else []
+    rows = [whole_row(docs)] if carry else []
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), *rows)
     base = base.withColumn("t", F.xxhash64("text"))
     lines = base.select("doc_id", "t", F.posexplode(F.split("text", "\n")).alias("place", "line"))

@@ -18,6 +18,7 @@ from moonstride.llm import (
     quality_ledger,
     substring_dedup,
     token_blocks,
+    warc,
 )
 from moonstride.llm.columns import crc_of_id
 from moonstride.llm.shipping import ship_library
@@ -78,6 +79,12 @@ def op5_line_runs(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages through WARC archives, equal payloads stored once."""
+    return warc.pages_through_archives(read_table(spark, folder, "pages"))
+
+
 @query
 def op7_benchmark_passages(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark passages in all documents."""
