@@ -36,12 +36,13 @@ class LineRuns:
     def __init__(self, spark: SparkSession, min_docs: int, fanout: int = 2) -> None:
         self.spark, self.min_docs, self.fanout = spark, min_docs, fanout
         self.levels: list[list[str]] = []
+        self.paths: dict[str, str] = {}
 
     def _store(self, run: DataFrame, level: int) -> None:
         name = f"line_run_{uuid.uuid4().hex}"
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        writer = run.write.format("parquet").bucketBy(buckets, *_KEY).sortBy(*_KEY)
-        writer.option("path", scratch_path(self.spark, "line-run")).saveAsTable(name)
+        self.paths[name] = scratch_path(self.spark, "line-run")
+        run.write.format("parquet").bucketBy(buckets, *_KEY).sortBy(*_KEY).option("path", self.paths[name]).saveAsTable(name)
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(name)
@@ -52,7 +53,8 @@ class LineRuns:
                 self.spark.sql(f"DROP TABLE {table}")
 
     def _merged(self, tables: list[str]) -> DataFrame:
-        rows = reduce(DataFrame.union, (self.spark.table(t) for t in tables))
+        # read as plain files: Spark 4.1 takes a union of bucketed scans as dealt by key, which it is not
+        rows = reduce(DataFrame.union, (self.spark.read.parquet(self.paths[t]) for t in tables))
         return rows.groupBy(*_KEY).agg(F.sum("docs").alias("docs"), F.max("last").alias("last"))
 
     def add(self, lines: DataFrame) -> None:
