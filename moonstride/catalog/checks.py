@@ -38,14 +38,12 @@ def dq_accepted_values(t: Tables) -> DataFrame:
 
 
 @query("""
-    SELECT o_custkey, count(*) AS child_rows FROM orders
-    WHERE o_custkey IS NOT NULL
-      AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0 AND c_custkey IS NOT NULL)
-    GROUP BY o_custkey""")
+    SELECT user_id, count(*) AS child_rows FROM events
+    WHERE user_id IS NOT NULL AND user_id NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey IS NOT NULL)
+    GROUP BY user_id""")
 def dq_relationships(t: Tables) -> DataFrame:
-    """Orders whose customer is not among those with a positive balance."""
-    parents = t.customer.where("c_acctbal >= 0")
-    return quality.relationships(t.orders, "o_custkey", parents, "c_custkey")
+    """Events whose user is no supplier."""
+    return quality.relationships(t.events, "user_id", t.supplier, "s_suppkey")
 
 
 @query("SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal < 0")

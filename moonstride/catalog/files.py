@@ -13,7 +13,7 @@ from moonstride.operators.load import append_new
 from moonstride.operators.sinks import as_records, create_view, rebuild_table, write_records, write_snapshot
 from moonstride.operators.summary import count_per
 from moonstride.session import scratch_path
-from moonstride.sources.landing import SECOND_STAMP, read_landing, read_newest
+from moonstride.sources.landing import SECOND_STAMP, read_landing, read_newest, unreadable_files
 from moonstride.sources.seeds import moon_calendar_columns, read_activity_mapping, read_moon_calendar
 from moonstride.streaming.ingest import ingest_landing, stream_landing
 
@@ -45,17 +45,58 @@ def sc_json_landing(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "landing")
     record = F.struct(*_as_text_time(t.events).columns)
     _as_text_time(t.events).select(F.to_json(F.array(record)).alias("value")).write.text(path)
-    return _typed(read_landing(t.spark, path, _EVENT_RECORD, form="lines"))
+    return _typed(read_landing(t.spark, path, _EVENT_RECORD))
+
+
+def _arrays(t: Tables, indent: str) -> DataFrame:
+    """The events as JSON arrays of up to 500 elements over several lines, each the text of a file."""
+    record = F.to_json(F.struct(*_as_text_time(t.events).columns), {"pretty": "true"})
+    element = F.concat(F.lit(indent), F.regexp_replace(record, "\n", "\n" + indent))
+    groups = _as_text_time(t.events).groupBy((F.col("event_id") / 500).cast("long").alias("file"))
+    text = F.concat(F.lit("[\n"), F.array_join(F.collect_list(element), ",\n"), F.lit("\n]"))
+    return groups.agg(text.alias("value"))
+
+
+def _write_files(arrays: DataFrame, path: str) -> None:
+    """One file per row."""
+    arrays.write.mode("append").partitionBy("file").text(path)
 
 
 @query(_EVENTS)
 def sc_indented_landing(t: Tables) -> DataFrame:
-    """Records laid out as elements of an indented array, read back in pieces."""
+    """Arrays indented by two blanks with their brackets, read back in pieces."""
     path = scratch_path(t.spark, "indented")
-    record = F.to_json(F.struct(*_as_text_time(t.events).columns), {"pretty": "true"})
-    element = F.regexp_replace(record, "\n", "\n  ")
-    _as_text_time(t.events).select(element.alias("value")).write.option("lineSep", ",\n  ").text(path)
-    return _typed(read_landing(t.spark, path, _EVENT_RECORD, form="indented"))
+    _write_files(_arrays(t, "  "), path)
+    return _typed(read_landing(t.spark, path, _EVENT_RECORD))
+
+
+@query(_EVENTS)
+def sc_json_array(t: Tables) -> DataFrame:
+    """Arrays indented in another way; files that are cut off or damaged beside them add nothing."""
+    path = scratch_path(t.spark, "arrays")
+    arrays = _arrays(t, " ")
+    _write_files(arrays, path)
+    _write_files(_arrays(t, "  ").withColumn("value", F.expr("substring(value, 1, length(value) - 10)")), path)
+    _write_files(arrays.withColumn("value", F.expr("replace(value, '\"value\" :', '\"value\" ')")), path)
+    return _typed(read_landing(t.spark, path, _EVENT_RECORD))
+
+
+@query("""
+    SELECT CAST(event_id // 500 AS BIGINT) AS file, count(*) AS lost FROM events GROUP BY 1""")
+def sc_unreadable_files(t: Tables) -> DataFrame:
+    """Of whole and cut files, the cut ones are named; each lacks the records of its array."""
+    path = scratch_path(t.spark, "cut")
+    arrays = _arrays(t, "  ")
+    _write_files(arrays, path)
+    cut = arrays.select("file", F.concat(F.lit("// "), F.col("file").cast("string"), F.lit("\n"), "value").alias("value"))
+    _write_files(cut, path)
+    bad = unreadable_files(t.spark, path)
+    texts = t.spark.read.text(path, wholetext=True)
+    named = texts.select("value", F.col("_metadata.file_path").alias("_path")).join(bad, F.col("_path") == F.col("file_path"))
+    return named.select(
+        F.regexp_extract("value", "^// (\\d+)", 1).cast("long").alias("file"),
+        F.regexp_count("value", F.lit('"event_id"')).cast("long").alias("lost"),
+    )
 
 
 @query(_EVENTS)
@@ -66,7 +107,7 @@ def sc_newest_snapshot(t: Tables) -> DataFrame:
     write_snapshot(events.where("event_type = 'view'"), folder, "events", datetime(2024, 1, 1))
     write_snapshot(events, folder, "events", datetime(2024, 1, 31, 12))
     write_records(events.where("event_type = 'error'"), f"{folder}/events_20249999_000000.json")
-    return _typed(read_newest(t.spark, folder, "events", _EVENT_RECORD, SECOND_STAMP, form="lines"))
+    return _typed(read_newest(t.spark, folder, "events", _EVENT_RECORD, SECOND_STAMP))
 
 
 @query("""
@@ -124,14 +165,17 @@ def sk_incremental_append(t: Tables) -> DataFrame:
            CASE WHEN event_type IN ('view', 'click') THEN 'first' ELSE 'second' END AS load
     FROM events""")
 def st_incremental_append(t: Tables) -> DataFrame:
-    """Two overlapping drops of landing files, loaded by id as a stream."""
+    """Overlapping drops of landing files, one of them broken, loaded by id in several micro-batches."""
     folder = scratch_path(t.spark, "drops")
     events = _as_text_time(t.events).select("event_id", "ts", "event_type")
     first = events.where(F.col("event_type").isin("view", "click"))
     write_records(first.withColumn("load", F.lit("first")), f"{folder}/drop_1")
     write_records(events.withColumn("load", F.lit("second")), f"{folder}/drop_2")
+    # files with broken lines add nothing
+    broken = F.expr("substring(record, 1, length(record) - 5)").alias("value")
+    as_records(events.withColumn("load", F.lit("broken"))).select(broken).write.text(f"{folder}/drop_3")
     table = _new_name("streamed")
-    records = stream_landing(t.spark, folder, "event_id bigint, ts string, event_type string, load string")
+    records = stream_landing(t.spark, folder, "event_id bigint, ts string, event_type string, load string", max_files_per_trigger=2)
     job = ingest_landing(
         records, table, "event_id", scratch_path(t.spark, "progress"), scratch_path(t.spark, "streamed")
     )
@@ -144,7 +188,7 @@ def sk_json_round_trip(t: Tables) -> DataFrame:
     """Records written as JSON lines and read back."""
     path = scratch_path(t.spark, "records")
     write_records(_as_text_time(t.events), path)
-    return _typed(read_landing(t.spark, path, _EVENT_RECORD, form="lines"))
+    return _typed(read_landing(t.spark, path, _EVENT_RECORD))
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")

@@ -87,10 +87,7 @@ def jn_star(t: Tables) -> DataFrame:
     return fact.join(dimension.drop("event_type"), "kind_id", "left")
 
 
-@query("""
-    SELECT c_custkey, c_name FROM customer
-    WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""")
+@query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def jn_left_anti(t: Tables) -> DataFrame:
-    """Customers without an urgent order."""
-    urgent = t.orders.where("o_orderpriority = '1-URGENT'")
-    return without_match(t.customer.select("c_custkey", "c_name"), urgent, "c_custkey", "o_custkey")
+    """Documents without a label."""
+    return without_match(t.documents.select("doc_id", "source"), t.labels, "doc_id", "doc_id")

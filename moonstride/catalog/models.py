@@ -31,10 +31,10 @@ from moonstride.session import stage
 from moonstride.sources.literals import literal_table
 
 
-def _activities(t: Tables) -> DataFrame:
+def _activities(t: Tables, numbered: bool = True) -> DataFrame:
     flat = staging.flatten_activities(activity_records(t.events))
     mapping = staging.stage_activity_mapping(mapping_seed(t.spark))
-    return intermediate.activities(staging.stage_activities(flat), mapping)
+    return intermediate.activities(staging.stage_activities(flat), mapping, numbered=numbered)
 
 
 def _activity_table(t: Tables) -> DataFrame:
@@ -56,9 +56,9 @@ def _sleeps(t: Tables) -> DataFrame:
     return intermediate.numbered_sleeps(staged, staging.moon_calendar_columns(moon_seed(t.spark)))
 
 
-def _workouts(t: Tables) -> DataFrame:
+def _workouts(t: Tables, numbered: bool = True) -> DataFrame:
     mapping = staging.stage_activity_mapping(mapping_seed(t.spark))
-    return intermediate.workouts(staging.stage_workouts(workout_records(t.events)), mapping)
+    return intermediate.workouts(staging.stage_workouts(workout_records(t.events)), mapping, numbered=numbered)
 
 
 @query(f"SELECT * FROM {STAGED_SLEEP_SQL} s")
@@ -94,12 +94,12 @@ def model_socials(t: Tables) -> DataFrame:
 
 @query(f"SELECT * FROM {TYPE_SQL} t")
 def model_activity_types(t: Tables) -> DataFrame:
-    return marts.activity_types(_activities(t))
+    return marts.activity_types(_activities(t, numbered=False))
 
 
 @query(f"SELECT * FROM {GEAR_SQL} g")
 def model_gear(t: Tables) -> DataFrame:
-    return marts.gear(_activities(t))
+    return marts.gear(_activities(t, numbered=False))
 
 
 @query(f"""
@@ -185,7 +185,7 @@ def model_workouts(t: Tables) -> DataFrame:
     FROM (SELECT DISTINCT activity_name, is_sport_exercise FROM {WORKOUT_SQL} w) d""")
 def model_workout_activities(t: Tables) -> DataFrame:
     """The workout dimension; "no name" is its last member."""
-    return marts.workout_activities(_workouts(t))
+    return marts.workout_activities(_workouts(t, numbered=False))
 
 
 @query(f"""
@@ -200,9 +200,9 @@ def model_workout_activities(t: Tables) -> DataFrame:
                  TIMESTAMP '{CALENDAR_END}' - INTERVAL '1 day', INTERVAL '1 day')) AS d) s""")
 def model_data_check(t: Tables) -> DataFrame:
     """Which data exists for each day of the calendar."""
-    activities = _activities(t)
+    activities = _activities(t, numbered=False)
     dates = marts.dim_dates(activities, CALENDAR_END)
-    return marts.data_check(dates, _nights(t), _workouts(t), activities)
+    return marts.data_check(dates, _nights(t), _workouts(t, numbered=False), activities)
 
 
 @query(f"""
@@ -224,5 +224,7 @@ def model_cycles(t: Tables) -> DataFrame:
     """Cycles with recovery and sleep."""
     cycles = staging.stage_cycles(cycle_records(t.events))
     recoveries = staging.stage_recoveries(recovery_records(t.events))
-    joined = intermediate.physiological_cycles(cycles, recoveries, _sleeps(t))
+    joined = intermediate.physiological_cycles(
+        cycles, recoveries, intermediate.numbered_sleeps(staging.stage_sleeps(sleep_records(t.events)))
+    )
     return joined.withColumn("energy_burned", F.round("energy_burned", 6))

@@ -153,14 +153,13 @@ def qn_category(t: Tables) -> DataFrame:
 
 
 @query(f"""
-    SELECT conv_id, turn, {_INTENT_SQL.format("text")} AS intent, {_category_sql("text")} AS category
-    FROM conversations WHERE role = 'user'""")
+    SELECT conv_id, turn, role, {_INTENT_SQL.format("text")} AS intent, {_category_sql("text")} AS category
+    FROM conversations""")
 def qn_intent(t: Tables) -> DataFrame:
-    """How to answer what users say in conversations, and the category they name."""
+    """How to answer what is said in conversations, and the category it names."""
     found = q.category(F.col("text"))
     name = F.when(found["is_sport_exercise"], "sport").otherwise(found["activity_name"])
-    said = t.conversations.where("role = 'user'")
-    return said.select("conv_id", "turn", q.intent(F.col("text")).alias("intent"), name.alias("category"))
+    return t.conversations.select("conv_id", "turn", "role", q.intent(F.col("text")).alias("intent"), name.alias("category"))
 
 
 def order_activities(orders: DataFrame) -> DataFrame:

@@ -80,10 +80,10 @@ def relationships(df: DataFrame, column: str, parent: DataFrame, parent_column:
 def calendar_horizon(
     calendar: DataFrame, as_of: date | None = None, day: str = "date_day", warn_days: int = 3
 ) -> DataFrame:
-    """One row if the calendar has run out (error) or will within ``warn_days`` (warn)."""
+    """One row if the calendar is empty or has run out (error) or will within ``warn_days`` (warn)."""
     today = F.current_date() if as_of is None else F.lit(as_of)
     end = F.col("end_date")
-    severity = F.when(today >= end, "error").when(today >= F.date_sub(end, warn_days), "warn")
+    severity = F.when(end.isNull() | (today >= end), "error").when(today >= F.date_sub(end, warn_days), "warn")
     return (
         calendar.agg(F.date_add(F.max(day), 1).alias("end_date"))
         .withColumn("severity", severity)

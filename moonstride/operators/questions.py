@@ -43,6 +43,16 @@ _IN_YEAR = r"(?:in|during)\s+(\d{4})"
 _LAST_DAYS = r"(?:last|past)\s+(\d+)\s+days?"
 
 
+# dates before this one are not told apart
+FIRST_DATE = "0001-01-01"
+
+
+def _days_before(as_of: Column, days: Column) -> Column:
+    """``as_of`` less ``days``, but not before ``FIRST_DATE``."""
+    first = F.lit(FIRST_DATE).cast("date")
+    return F.date_sub(as_of, F.least(days, F.date_diff(as_of, first)))
+
+
 def with_date_scope(
     questions: DataFrame, text: str = "question", as_of: Column | None = None, strict: bool = False
 ) -> DataFrame:
@@ -79,8 +89,12 @@ def with_date_scope(
         {
             **{
                 number: F.when(F.col(number) != "", F.col(number)).try_cast("int")
-                for number in ("_named_year", "_year", "_days")
+                for number in ("_named_year", "_year")
             },
+            # a number that no int holds reaches back to the first date
+            "_days": F.when(
+                F.col("_days") != "", F.coalesce(F.col("_days").try_cast("int"), F.lit(2**31 - 1))
+            ),
             "_named_month": month_number(F.col("_named")),
             "_lone_month": F.when(
                 F.col("_named") == "",
@@ -110,7 +124,7 @@ def with_date_scope(
         .when(F.col("_year").isNotNull(), scope("year", year_start, F.add_months(year_start, 12)))
         .when(
             F.col("_days").isNotNull(),
-            scope("last_days", F.date_sub(as_of, F.col("_days")), count=F.col("_days")),
+            scope("last_days", _days_before(as_of, F.col("_days")), count=F.col("_days")),
         )
         .when(F.col("_this_month"), scope("this_month", this_month, F.add_months(this_month, 1)))
         .when(F.col("_this_year"), scope("this_year", this_year, F.add_months(this_year, 12)))

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from moonstride.functions.times import day_of
 from moonstride.session import stage
 
-# a staged set of at most this many rows may be numbered by one window in one task
-SINGLE_TASK_ROWS = 1_000_000
-
 # monotonically_increasing_id: partition above bit 33, row within the partition below
 _ROW_BITS = 33
 
@@ -125,11 +122,9 @@ def nth_of_day(df: DataFrame, moment: str, tie_breaker: str, n: int = 1) -> Data
 def surrogate_keys(members: DataFrame, order: tuple[str, ...], name: str) -> DataFrame:
     """Number a distinct set 1, 2, 3, ... in ascending order, nulls last.
 
-    The set is staged and counted. A small one is numbered by one window, a large one by
-    ``number_rows``.
+    Columns that ``order`` lacks are the last sort keys. Members are distinct, so they are placed and
+    numbered as they are, whatever their number.
     """
-    members = stage(members, "members")
-    if members.count() > SINGLE_TASK_ROWS:
-        return number_rows(members, order, name).select(name, *members.columns)
-    key = F.row_number().over(Window.orderBy(*_sort_keys(order))).cast("long")
-    return members.select(key.alias(name), "*")
+    order = (*order, *(c for c in members.columns if c not in order))
+    numbered = _add_numbers(_range_sorted(members, order), F.lit(0), name, "_in_group")
+    return numbered.select(name, *members.columns)

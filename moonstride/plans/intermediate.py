@@ -28,13 +28,17 @@ def _with_activity_name(df: DataFrame, mapping: DataFrame, key: str) -> DataFram
     )
 
 
-def activities(staged: DataFrame, mapping: DataFrame, names: Names = DEFAULT_NAMES) -> DataFrame:
+def activities(
+    staged: DataFrame, mapping: DataFrame, names: Names = DEFAULT_NAMES, numbered: bool = True
+) -> DataFrame:
     """Activities with running numbers, converted measures and the common activity name.
 
-    Equal start times are numbered by source id.
+    Equal start times are numbered by source id. For those who read no number, ``numbered=False``
+    leaves both out and sorts nothing.
     """
     number = f"{names.track}_activity_id"
-    numbered = number_by_time(staged, "start_date", "activity_id", number, f"{number}_of_day")
+    numbers = (number, f"{number}_of_day") if numbered else ()
+    rows = number_by_time(staged, "start_date", "activity_id", *numbers) if numbered else staged
     length = F.col("distance")
     measures = {"distance_meters": as_decimal2(length), "distance_kilometers": kilometers(length)}
     for time in ("moving_time", "elapsed_time"):
@@ -52,10 +56,9 @@ def activities(staged: DataFrame, mapping: DataFrame, names: Names = DEFAULT_NAM
     replaced = ("distance", "moving_time", "elapsed_time", "total_elevation_gain", "average_speed", "max_speed")
     first = ("activity_id", number, f"{number}_of_day", "name", "type", "start_date", "start_date_local", "timezone")
     rest = [c for c in staged.columns if c not in replaced and c not in first]
-    shaped = numbered.select(
+    shaped = rows.select(
         F.col("activity_id").alias(f"{number}_internal"),
-        number,
-        f"{number}_of_day",
+        *numbers,
         "name",
         "type",
         day_of(F.col("start_date")).alias("date_day"),
@@ -68,10 +71,10 @@ def activities(staged: DataFrame, mapping: DataFrame, names: Names = DEFAULT_NAM
     return _with_activity_name(shaped, mapping, "sport_type")
 
 
-def nights(staged: DataFrame, moon: DataFrame) -> DataFrame:
+def nights(staged: DataFrame, moon: DataFrame | None) -> DataFrame:
     """Sleeps with the night they belong to, hours and the moon of that night.
 
-    The source's id becomes ``source_sleep_id``.
+    The source's id becomes ``source_sleep_id``. Without a moon calendar there are no moon columns.
     """
 
     def both_units(*columns: str):
@@ -101,6 +104,8 @@ def nights(staged: DataFrame, moon: DataFrame) -> DataFrame:
         "sleep_consistency",
         "nap",
     )
+    if moon is None:
+        return shaped
     night = moon.select(
         "date_day",
         "moon_phase",
@@ -110,7 +115,7 @@ def nights(staged: DataFrame, moon: DataFrame) -> DataFrame:
     return left_lookup(shaped, night, "date_day", "date_day")
 
 
-def numbered_sleeps(staged: DataFrame, moon: DataFrame) -> DataFrame:
+def numbered_sleeps(staged: DataFrame, moon: DataFrame | None = None) -> DataFrame:
     """``nights`` with running numbers; that of the day follows the onset, not the night."""
     dated = nights(staged, moon)
     return number_by_time(dated, "sleep_onset", "source_sleep_id", "sleep_id", "sleep_id_of_day")
@@ -120,15 +125,17 @@ def sleeps(staged: DataFrame, moon: DataFrame) -> DataFrame:
     return numbered_sleeps(staged, moon).drop("source_sleep_id")
 
 
-def workouts(staged: DataFrame, mapping: DataFrame, names: Names = DEFAULT_NAMES) -> DataFrame:
-    """Workouts with running numbers, duration and the common activity name."""
+def workouts(
+    staged: DataFrame, mapping: DataFrame, names: Names = DEFAULT_NAMES, numbered: bool = True
+) -> DataFrame:
+    """Workouts with running numbers (unless ``numbered=False``), duration and the common activity name."""
     number = f"{names.body}_workout_id"
-    numbered = number_by_time(staged, "workout_start_time", "workout_id", number, f"{number}_of_day")
+    numbers = (number, f"{number}_of_day") if numbered else ()
+    rows = number_by_time(staged, "workout_start_time", "workout_id", *numbers) if numbered else staged
     start, end = F.col("workout_start_time"), F.col("workout_end_time")
     times = ("workout_id", "workout_start_time", "workout_end_time", "sport_id")
-    shaped = numbered.select(
-        number,
-        f"{number}_of_day",
+    shaped = rows.select(
+        *numbers,
         day_of(start).alias("date_day"),
         start,
         end,
@@ -141,8 +148,8 @@ def workouts(staged: DataFrame, mapping: DataFrame, names: Names = DEFAULT_NAMES
 def physiological_cycles(cycles: DataFrame, recoveries: DataFrame, sleeps_with_source: DataFrame) -> DataFrame:
     """Cycles with their recovery and the sleep the recovery is based on.
 
-    ``sleeps_with_source`` is ``numbered_sleeps``. One row per cycle as long as recoveries
-    are unique per cycle.
+    ``sleeps_with_source`` is ``numbered_sleeps`` and needs no moon. One row per cycle as long as
+    recoveries are unique per cycle.
     """
     slept = sleeps_with_source.drop("moon_phase", "moon_illumination", "moon_phase_cycle", "nap")
     recovered = left_lookup(cycles, recoveries, "cycle_id", "cycle_id")

@@ -9,7 +9,14 @@ from pyspark.sql import SparkSession
 from moonstride.operators.load import append_new
 from moonstride.plans.staging import flatten_activities
 from moonstride.sources import schemas
-from moonstride.sources.landing import DAY_STAMP, SECOND_STAMP, newest_snapshot, read_landing
+from moonstride.sources.landing import (
+    DAY_STAMP,
+    SECOND_STAMP,
+    landing_files,
+    newest_snapshot,
+    read_files,
+    warn_unreadable,
+)
 
 
 @dataclass(frozen=True)
@@ -31,19 +38,21 @@ KINDS = {
 }
 
 
-def load_newest(
-    spark: SparkSession, folder: str, kind: str, table: str, path: str | None = None, form: str = "indented"
-) -> int:
+def load_newest(spark: SparkSession, folder: str, kind: str, table: str, path: str | None = None) -> int:
     """Load the newest snapshot of a kind into its raw table; returns the rows added.
 
-    Known ids stay as they are. Without a snapshot nothing happens. ``form`` is that of
-    ``read_landing``; the default is how the extracts are written.
+    Known ids stay as they are. Without a snapshot nothing happens. Files that are not whole JSON add
+    nothing and are named in a warning.
     """
     rules = KINDS[kind]
     snapshot = newest_snapshot(spark, folder, kind, rules.stamp)
     if snapshot is None:
         return 0
-    records = read_landing(spark, snapshot, rules.layout, form)
+    files = landing_files(spark, snapshot)
+    warn_unreadable(files)
+    if not any(file.sound for file in files):
+        return 0
+    records = read_files(spark, files, rules.layout)
     if rules.is_activity:
         records = flatten_activities(records)
     return append_new(records, table, rules.id_column, path)

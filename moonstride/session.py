@@ -19,12 +19,11 @@ DEFAULTS = {
 
 # what one task of a shuffle should read; adaptive execution merges smaller ones
 SHUFFLE_BYTES_PER_TASK = 128 * 1024 * 1024
-MAX_SHUFFLE_TASKS = 100_000
 
 
 def shuffle_tasks(data_bytes: int) -> int:
     """Initial number of shuffle partitions for this much data."""
-    return min(max(-(-data_bytes // SHUFFLE_BYTES_PER_TASK), 200), MAX_SHUFFLE_TASKS)
+    return max(-(-data_bytes // SHUFFLE_BYTES_PER_TASK), 200)
 
 
 def build_session(
@@ -78,3 +77,12 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(staged: DataFrame) -> None:
+    """Delete what ``stage`` wrote for ``staged``; later reads of it fail."""
+    spark = staged.sparkSession
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for folder in {file.rsplit("/", 1)[0] for file in staged.inputFiles()}:
+        path = hadoop.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,89 +2,158 @@
 
 from __future__ import annotations
 
+import logging
 import re
+from dataclasses import dataclass
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
+
+_LOG = logging.getLogger(__name__)
 
 # Stamp layouts of the landing file names, as (regex, Spark pattern).
 SECOND_STAMP = (r"\d{8}_\d{6}", "yyyyMMdd_HHmmss")
 DAY_STAMP = (r"\d{4}-\d{2}-\d{2}", "yyyy-MM-dd")
 
+# where an element ends in an array indented by two blanks, and nowhere else in such a file
 END_OF_ELEMENT = "\n  },"
 
-_CORRUPT = "_unparsed"
-
+FILE, WRITTEN = "_landing_file", "_landing_time"
 
-def _raw_scan(spark: SparkSession, path: str | list[str], schema: str, form: str) -> DataFrame:
-    layout = T.StructType.fromDDL(schema).add(_CORRUPT, T.StringType())
-    return (
-        spark.read.schema(layout)
-        .option("multiLine", form == "array")
-        .option("columnNameOfCorruptRecord", _CORRUPT)
-        .json(path)
-    )
 
+@dataclass(frozen=True)
+class LandingFile:
+    """``form``: ``lines`` (a record or an array per line), ``indented`` (an array indented by two
+    blanks) or ``array`` (anything else). ``sound``: every part of it is JSON and its end is there."""
 
-def _unparsed(records: DataFrame) -> Column:
-    """True where the text is no JSON (a field of a wrong type is only null).
+    path: str
+    form: str
+    sound: bool
 
-    Spark wants a data column next to that of the text; all of them are null then.
-    """
-    text, field = F.col(_CORRUPT), F.col(f"`{records.columns[0]}`")
-    return text.isNotNull() & field.isNull() & F.get_json_object(text, "$").isNull()
 
+def _located(texts: DataFrame) -> DataFrame:
+    return texts.select(
+        "value",
+        F.col("_metadata.file_path").alias(FILE),
+        F.col("_metadata.file_modification_time").alias(WRITTEN),
+    )
 
-def parse_pieces(schema: str) -> Column:
-    """Array of the records in a piece of an indented array, or null.
 
-    The file was cut where an element of its array ends (``END_OF_ELEMENT``). With an
-    indent of two blanks that text occurs nowhere else, since JSON strings hold no bare
-    line breaks. A piece lacks the brackets its neighbours hold.
-    """
-    piece = F.col("value")
-    opens = piece.rlike(r"^\s*\[")
-    on_one_line = piece.rlike(r"^\s*\[[^\r\n]")
-    closes = piece.rlike(r"\n\]\s*$") | on_one_line
-    array = F.concat(F.when(opens, "").otherwise("["), piece, F.when(closes, "").otherwise("}]"))
-    return F.from_json(array, T.ArrayType(T.StructType.fromDDL(schema)))
-
-
-def _indented_records(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
-    pieces = spark.read.option("lineSep", END_OF_ELEMENT).text(path).where(F.col("value").rlike(r"\S"))
-    return pieces.select(
-        parse_pieces(schema).alias("records"), F.col("_metadata.file_path").alias("file_path")
+def _forms(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The form of every file that is not blank, from counts of its lines."""
+    line = F.rtrim(F.regexp_replace("value", "\r$", ""))
+    bare = F.btrim("value", F.lit(" \t\r"))
+    whole = (bare.startswith("{") & bare.endswith("}")) | (bare.startswith("[") & bare.endswith("]"))
+    count = lambda condition: F.count_if(condition)
+    facts = (
+        _located(spark.read.text(paths))
+        .where(bare != "")
+        .groupBy(FILE)
+        .agg(
+            F.count(F.lit(1)).alias("lines"),
+            count(whole).alias("whole"),
+            count(line == "[").alias("opens"),
+            count(line == "]").alias("closes"),
+            count(line == "  {").alias("begins"),
+            count(line == "  },").alias("goes_on"),
+            count(line == "  }").alias("ends"),
+            count(line.rlike("^ ?[^ ]|^  [^ ]") & ~line.isin("[", "]", "  {", "  },", "  }")).alias("other"),
+        )
     )
+    indented = "opens = 1 AND closes = 1 AND ends = 1 AND begins = goes_on + 1 AND other = 0"
+    form = F.when(F.col("lines") == F.col("whole"), "lines").when(F.expr(indented), "indented").otherwise("array")
+    return facts.select(FILE, form.alias("form"))
 
 
-def read_landing(
-    spark: SparkSession, path: str | list[str], schema: str, form: str = "array"
-) -> DataFrame:
-    """Records of JSON landing files; text that is not JSON yields none.
+def _arrays(spark: SparkSession, paths: list[str], form: str) -> DataFrame:
+    """Each part of the files as the text of a JSON array (``value``), with its file.
 
-    ``form`` says what a file holds: ``array`` one array, laid out in any way, which one
-    task reads whole; ``indented`` one array indented by two blanks; ``lines`` a record or
-    an array per line. Spark splits files of the last two forms over tasks.
+    Files of records per line and indented arrays are split over tasks: a piece of an array lacks the
+    brackets that its neighbours hold, and the brace where it was cut.
     """
+    if form == "lines":
+        bare = F.btrim("value", F.lit(" \t\r"))
+        read = _located(spark.read.text(paths)).where(bare != "")
+        return read.withColumn("value", F.when(bare.startswith("["), bare).otherwise(F.concat(F.lit("["), bare, F.lit("]"))))
     if form == "indented":
-        return _indented_records(spark, path, schema).select(F.inline("records"))
-    records = _raw_scan(spark, path, schema, form)
-    return records.where(~_unparsed(records)).drop(_CORRUPT)
+        read = _located(spark.read.option("lineSep", END_OF_ELEMENT).text(paths)).where(F.col("value").rlike(r"\S"))
+        piece = F.col("value")
+        opens, closes = piece.rlike(r"^\s*\["), piece.rlike(r"\n\]\s*$")
+        return read.withColumn("value", F.concat(F.when(opens, "").otherwise("["), piece, F.when(closes, "").otherwise("}]")))
+    return _located(spark.read.text(paths, wholetext=True))
 
 
-def unreadable_files(
-    spark: SparkSession, path: str | list[str], schema: str, form: str = "array"
-) -> DataFrame:
-    """Names of the files with text that ``read_landing`` leaves out, for a warning."""
-    if form == "indented":
-        unread = _indented_records(spark, path, schema).where(F.col("records").isNull())
-    else:
-        records = _raw_scan(spark, path, schema, form)
-        located = records.select("*", F.col("_metadata.file_path").alias("file_path"))
-        unread = located.where(_unparsed(records))
-    return unread.groupBy("file_path").agg(F.count(F.lit(1)).alias("unreadable_records"))
+def _is_array(text: Column) -> Column:
+    """Whether the text is one JSON array and nothing else."""
+    bare = F.btrim(text, F.lit(" \t\r\n"))
+    wrapped = F.concat(F.lit('{"v":'), text, F.lit("}"))
+    return bare.startswith("[") & bare.endswith("]") & F.get_json_object(wrapped, "$").isNotNull()
+
+
+def landing_files(spark: SparkSession, path: str | list[str]) -> list[LandingFile]:
+    """Form and soundness of every file, found in two distributed readings; an empty file is not sound.
+
+    What reaches the driver is a row per file, like Spark's own listing.
+    """
+    names = list(spark.read.format("binaryFile").load(path).inputFiles())  # empty files too
+    forms = {r[FILE]: r["form"] for r in (_forms(spark, names).collect() if names else [])}
+    broken: set[str] = set()
+    for form in ("lines", "indented", "array"):
+        chosen = [p for p, f in forms.items() if f == form]
+        if chosen:
+            bad = _arrays(spark, chosen, form).where(~_is_array(F.col("value"))).select(FILE).distinct()
+            broken |= {r[FILE] for r in bad.collect()}
+    known = {_plain(p): p for p in forms}
+    return [
+        LandingFile(known.get(_plain(n), n), forms.get(known.get(_plain(n)), "array"), _plain(n) in known and known[_plain(n)] not in broken)
+        for n in sorted(names)
+    ]
+
+
+def _plain(path: str) -> str:
+    return re.sub(r"^file:/+", "/", path)
+
+
+def read_files(spark: SparkSession, files: list[LandingFile], schema: str, origin: bool = False) -> DataFrame:
+    """Records of the sound ones of ``files``; with ``origin`` also the file and when it was written."""
+    layout = T.StructType.fromDDL(schema)
+    extra = [FILE, WRITTEN] if origin else []
+    parts = []
+    for form in ("lines", "indented", "array"):
+        chosen = [f.path for f in files if f.sound and f.form == form]
+        if chosen:
+            records = F.filter(F.from_json("value", T.ArrayType(layout)), lambda r: r.isNotNull())
+            parts.append(_arrays(spark, chosen, form).select(records.alias("records"), *extra).select(F.inline("records"), *extra))
+    if not parts:
+        more = [T.StructField(FILE, T.StringType()), T.StructField(WRITTEN, T.TimestampType())] if origin else []
+        return spark.createDataFrame([], T.StructType([*layout.fields, *more]))
+    return reduce(DataFrame.union, parts)
+
+
+def read_landing(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
+    """Records of JSON landing files, laid out in any way.
+
+    A file counts as a whole or not at all: one that is cut off, damaged anywhere or empty yields no
+    record, and ``unreadable_files`` names it. A field of a wrong type is null. Files with a record or an
+    array per line and arrays indented by two blanks are split over tasks; another layout is read
+    by one task per file.
+    """
+    return read_files(spark, landing_files(spark, path), schema)
+
+
+def unreadable_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``file_path`` of the files that ``read_landing`` leaves out."""
+    rows = [(f.path,) for f in landing_files(spark, path) if not f.sound]
+    return spark.createDataFrame(rows, "file_path string")
+
+
+def warn_unreadable(files: list[LandingFile]) -> None:
+    for file in files:
+        if not file.sound:
+            _LOG.warning("not loaded, because it is not whole JSON: %s", file.path)
 
 
 def newest_snapshot(
@@ -97,36 +166,28 @@ def newest_snapshot(
     """
     pattern, layout = stamp
     name = rf"^(.*/{re.escape(prefix)}_({pattern})\.json)(?:/[^/]*)?$"
-    try:
-        files = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", True)
-            .load(folder)
-            .select(
-                F.regexp_extract("path", name, 1).alias("snapshot"),
-                F.try_to_timestamp(
-                    F.nullif(F.regexp_extract("path", name, 2), F.lit("")), F.lit(layout)
-                ).alias("taken_at"),
-            )
-        )
-    except AnalysisException:
+    found = []
+    # direct children only: files, and folders of part files
+    for children in (f"{folder}/{prefix}_*.json", f"{folder}/{prefix}_*.json/*"):
+        try:
+            found.append(spark.read.format("binaryFile").load(children).select("path"))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    if not found:
         return None
-    newest = (
-        files.where(F.col("taken_at").isNotNull()).agg(F.max_by("snapshot", "taken_at").alias("snapshot"))
-    ).first()
-    return newest["snapshot"]
+    stamped = reduce(DataFrame.union, found).select(
+        F.regexp_extract("path", name, 1).alias("snapshot"),
+        F.try_to_timestamp(F.nullif(F.regexp_extract("path", name, 2), F.lit("")), F.lit(layout)).alias("taken_at"),
+    )
+    return stamped.where(F.col("taken_at").isNotNull()).agg(F.max_by("snapshot", "taken_at").alias("s")).first()["s"]
 
 
 def read_newest(
-    spark: SparkSession,
-    folder: str,
-    prefix: str,
-    schema: str,
-    stamp: tuple[str, str] = SECOND_STAMP,
-    form: str = "array",
+    spark: SparkSession, folder: str, prefix: str, schema: str, stamp: tuple[str, str] = SECOND_STAMP
 ) -> DataFrame:
     """Records of the newest snapshot; an empty frame if there is none."""
     path = newest_snapshot(spark, folder, prefix, stamp)
     if path is None:
         return spark.createDataFrame([], T.StructType.fromDDL(schema))
-    return read_landing(spark, path, schema, form)
+    return read_landing(spark, path, schema)

@@ -8,39 +8,39 @@ from pyspark.sql import functions as F
 from moonstride.sources.literals import literal_table
 from moonstride.sources.schemas import ACTIVITY_MAPPING, MOON_CALENDAR
 
-# Source names of the trackers, their common name, and whether it counts as sport.
-ACTIVITY_NAMES = """source,activity_name,aligned_activity_name,is_sport_exercise
-body,activity,Activity,false
-body,badminton,Badminton,true
-body,commuting,Commuting,false
-body,cycling,Cycling,true
-body,dance,Dance,false
-body,dog-walking,Dog-walking,false
-body,hiit,HIIT,true
-body,hiking-rucking,Hiking,true
-body,increase_relaxation,Breath Work,false
-body,padel,Padel,true
-body,powerlifting,WeightTraining,true
-body,running,Run,true
-body,sauna,Sauna,false
-body,sculpt-yoga,Yoga,true
-body,ski-touring,Nordic Ski,true
-body,swimming,Swim,true
-body,table-tennis,Table Tennis,false
-body,walking,Commuting,false
-body,weightlifting,WeightTraining,true
-body,yoga,Yoga,true
-track,Ride,Cycling,true
-track,Racquetball,Badminton,true
-track,NordicSki,Nordic Ski,true
-track,Workout,WeightTraining,true
-track,WeightTraining,WeightTraining,true
-track,HighIntensityIntervalTraining,HIIT,true
-track,Crossfit,WeightTraining,true
-track,Hike,Hiking,true
-track,Yoga,Yoga,true
-track,Run,Run,true
-track,Swim,Swim,true
+# Names of activities at the trackers, their common name, and whether it counts as sport.
+ACTIVITY_NAMES = """activity_name,aligned_activity_name,is_sport_exercise
+activity,Activity,false
+badminton,Badminton,true
+commuting,Commuting,false
+cycling,Cycling,true
+dance,Dance,false
+dog-walking,Dog-walking,false
+hiit,HIIT,true
+hiking-rucking,Hiking,true
+increase_relaxation,Breath Work,false
+padel,Padel,true
+powerlifting,WeightTraining,true
+running,Run,true
+sauna,Sauna,false
+sculpt-yoga,Yoga,true
+ski-touring,Nordic Ski,true
+swimming,Swim,true
+table-tennis,Table Tennis,false
+walking,Commuting,false
+weightlifting,WeightTraining,true
+yoga,Yoga,true
+Ride,Cycling,true
+Racquetball,Badminton,true
+NordicSki,Nordic Ski,true
+Workout,WeightTraining,true
+WeightTraining,WeightTraining,true
+HighIntensityIntervalTraining,HIIT,true
+Crossfit,WeightTraining,true
+Hike,Hiking,true
+Yoga,Yoga,true
+Run,Run,true
+Swim,Swim,true
 """
 
 
@@ -55,10 +55,11 @@ def read_activity_mapping(spark: SparkSession, path: str) -> DataFrame:
 
 
 def default_activity_mapping(spark: SparkSession) -> DataFrame:
-    """The built-in mapping, for use without a seed file."""
-    _, *lines = ACTIVITY_NAMES.strip().splitlines()
-    rows = [(*line.split(",")[:3], line.endswith(",true")) for line in lines]
-    return literal_table(spark, ACTIVITY_MAPPING, rows)
+    """The built-in mapping, for use without a seed file; it does not say which tracker uses a name."""
+    header, *lines = ACTIVITY_NAMES.strip().splitlines()
+    *names, flag = header.split(",")
+    rows = [(*line.split(",")[:2], line.endswith(",true")) for line in lines]
+    return literal_table(spark, ", ".join(f"{n} string" for n in names) + f", {flag} boolean", rows)
 
 
 def read_moon_calendar(spark: SparkSession, path: str) -> DataFrame:

@@ -2,37 +2,47 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from moonstride.operators.load import append_new
-from moonstride.session import stage
-from moonstride.sources.landing import END_OF_ELEMENT, parse_pieces
+from moonstride.plans.loading import KINDS
+from moonstride.plans.staging import flatten_activities
+from moonstride.session import release, stage
+from moonstride.sources.landing import FILE, WRITTEN, landing_files, read_files, warn_unreadable
+
+
+@dataclass(frozen=True)
+class LandingStream:
+    """Names of files as they land, and how to read their records."""
 
-_FILE, _WRITTEN = "_landing_file", "_landing_time"
+    names: DataFrame
+    schema: str
+    is_activity: bool = False
 
 
 def stream_landing(
-    spark: SparkSession,
-    folder: str,
-    schema: str,
-    form: str = "lines",
-    max_files_per_trigger: int = 1000,
-) -> DataFrame:
-    """Records of files as they land, each with the file it came from; ``form`` as in ``read_landing``."""
-    reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).option(
-        "recursiveFileLookup", True
+    spark: SparkSession, folder: str, schema: str, max_files_per_trigger: int = 1000, is_activity: bool = False
+) -> LandingStream:
+    """Files below ``folder`` as they land. The stream carries names; records are read as in a batch."""
+    names = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("maxFilesPerTrigger", max_files_per_trigger)
+        .option("recursiveFileLookup", True)
+        .load(folder)
+        .select("path")
     )
-    origin = (
-        F.col("_metadata.file_modification_time").alias(_WRITTEN),
-        F.col("_metadata.file_path").alias(_FILE),
-    )
-    if form == "indented":
-        pieces = reader.option("lineSep", END_OF_ELEMENT).text(folder).where(F.col("value").rlike(r"\S"))
-        parsed = pieces.select(parse_pieces(schema).alias("records"), *origin)
-        return parsed.select(F.inline("records"), _WRITTEN, _FILE)
-    return reader.schema(schema).option("multiLine", form == "array").json(folder).select("*", *origin)
+    return LandingStream(names, schema, is_activity)
+
+
+def stream_kind(spark: SparkSession, folder: str, kind: str, max_files_per_trigger: int = 1000) -> LandingStream:
+    """Files of one of the kinds that ``plans.loading`` knows."""
+    rules = KINDS[kind]
+    return stream_landing(spark, f"{folder}/{kind}_*.json", rules.layout, max_files_per_trigger, rules.is_activity)
 
 
 def keep_first_file(batch: DataFrame, id_column: str) -> DataFrame:
@@ -40,30 +50,41 @@ def keep_first_file(batch: DataFrame, id_column: str) -> DataFrame:
 
     A micro-batch then gives what loading its files one after the other would give.
     """
-    arrival = F.struct(_WRITTEN, _FILE)
+    arrival = F.struct(WRITTEN, FILE)
     first = batch.groupBy(F.col(id_column).alias("_id")).agg(F.min(arrival).alias("_first"))
     same = F.col(id_column).eqNullSafe(F.col("_id")) & (arrival == F.col("_first"))
-    return batch.join(first, same, "left_semi").drop(_WRITTEN, _FILE)
+    return batch.join(first, same, "left_semi").drop(WRITTEN, FILE)
 
 
 def ingest_landing(
-    records: DataFrame, table: str, id_column: str, checkpoint: str, path: str | None = None
+    landing: LandingStream, table: str, id_column: str, checkpoint: str, path: str | None = None
 ) -> StreamingQuery:
-    """Append unseen ids from ``stream_landing`` to ``table`` until no file is left.
+    """Append unseen ids from the files of ``landing`` to ``table`` until no file is left.
 
-    The target table is the state. A micro-batch that runs twice finds its ids there, so a
-    restart after a failure, even from a new checkpoint, adds nothing twice.
+    Files are read by the code that reads a batch: a file that is not whole JSON adds nothing and is
+    named in a warning. The target table is the state. A micro-batch that runs twice finds its ids
+    there, so a restart after a failure, even from a new checkpoint, adds nothing twice.
     """
 
     def load(batch: DataFrame, _batch_id: int) -> None:
+        spark = batch.sparkSession
+        names = [r.path for r in batch.collect()]  # at most max_files_per_trigger
+        if not names:
+            return
+        files = landing_files(spark, names)
+        warn_unreadable(files)
+        records = read_files(spark, files, landing.schema, origin=True)
+        if landing.is_activity:
+            records = flatten_activities(records)
         # the load reads its batch several times; staged, the JSON is parsed once
-        arrived = stage(batch, "micro-batch")
+        arrived = stage(records, "micro-batch")
         append_new(keep_first_file(arrived, id_column), table, id_column, path)
+        release(arrived)
         # batches run in a session of their own; the caller's must list the new files
-        records.sparkSession.catalog.refreshTable(table)
+        landing.names.sparkSession.catalog.refreshTable(table)
 
     return (
-        records.writeStream.foreachBatch(load)
+        landing.names.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from moonstride.operators.load import append_new, unseen
-from moonstride.operators.sinks import as_records, fetch_records, schema_for, write_records, write_snapshot
+from moonstride.operators.sinks import as_records, fetch_records, rebuild_table, schema_for, write_records, write_snapshot
 from moonstride.plans.loading import KINDS, load_newest
 from moonstride.sources import (
     newest_snapshot,
@@ -19,11 +19,11 @@ from moonstride.sources import (
     read_newest,
     unreadable_files,
 )
-from moonstride.sources.landing import DAY_STAMP, SECOND_STAMP
+from moonstride.sources.landing import DAY_STAMP, SECOND_STAMP, landing_files, read_files
 from moonstride.sources.schemas import SLEEP
 from moonstride.sources.seeds import default_activity_mapping, moon_calendar_columns
 from moonstride.streaming import ingest_landing, stream_landing
-from moonstride.streaming.ingest import keep_first_file
+from moonstride.streaming.ingest import keep_first_file, stream_kind
 
 SCHEMA = "id bigint, name string, distance double"
 
@@ -52,7 +52,7 @@ def test_json_array_over_several_lines(spark, tmp_path):
 
 def test_array_per_line(spark, tmp_path):
     put(tmp_path, "a.json", '[{"id": 1}, {"id": 2}]\n{"id": 3}\n')
-    df = read_landing(spark, str(tmp_path), SCHEMA, form="lines")
+    df = read_landing(spark, str(tmp_path), SCHEMA)
     assert contents(df, "id") == [(1,), (2,), (3,)]
 
 
@@ -63,9 +63,75 @@ def test_unreadable_file_gives_no_rows_and_its_name(spark, tmp_path):
     df = read_landing(spark, str(tmp_path), SCHEMA)
     # a field of the wrong type is null; its record stays, as does one without any value
     assert contents(df, "id", "distance") == [(1, None), (None, None)]
-    bad = unreadable_files(spark, str(tmp_path), SCHEMA).collect()
-    found = sorted((os.path.basename(r["file_path"]), r["unreadable_records"]) for r in bad)
-    assert found == [("bad.json", 1), ("cut.json", 1)]
+    put(tmp_path, "empty.json", "")
+    bad = unreadable_files(spark, str(tmp_path)).collect()
+    assert sorted(os.path.basename(r["file_path"]) for r in bad) == ["bad.json", "cut.json", "empty.json"]
+
+
+def test_a_file_cut_anywhere_counts_as_a_whole_or_not_at_all(spark, tmp_path):
+    records = [{"id": i, "score": {"a": [i]}, "name": "},\n  },"} for i in range(3)]
+    for number, text in enumerate((json.dumps(records, indent=2), json.dumps(records, indent=1), json.dumps(records))):
+        folder = tmp_path / str(number)
+        folder.mkdir()
+        for cut in range(0, len(text), 3):
+            put(folder, f"cut_{cut}.json", text[:cut])
+        put(folder, "damaged.json", text.replace('"id": 1', '"id" 1'))
+        put(folder, "twice.json", text + text)
+        put(folder, "whole.json", text)
+        put(folder, "crlf.json", text.replace("\n", "\r\n") + "\r\n")
+        assert contents(read_landing(spark, str(folder), SCHEMA), "id") == [(0,), (0,), (1,), (1,), (2,), (2,)]
+        assert unreadable_files(spark, str(folder)).count() == len(os.listdir(folder)) - 2
+
+
+def test_json_lines_cut_within_a_line(spark, tmp_path):
+    text = "\n".join(json.dumps({"id": i, "score": {"a": i}}) for i in range(4))
+    for cut in range(0, len(text), 2):
+        put(tmp_path, f"{cut}.json", text[:cut])
+    records = read_files(spark, landing_files(spark, str(tmp_path)), SCHEMA, origin=True)
+    counts = records.groupBy("_landing_file").agg(F.count("id").alias("n")).collect()
+    whole = [i for i in range(0, len(text), 2) if text[:i].endswith(("}}", "\n"))]
+    assert {os.path.basename(r["_landing_file"]): r["n"] for r in counts} == {f"{i}.json": text[:i].count("}}") for i in whole}
+
+
+def test_the_writer_is_read_by_the_loader(spark, tmp_path, table):
+    folder = str(tmp_path / "landing")
+    records = spark.range(20).repartition(3).withColumn("name", F.lit("x"))
+    write_snapshot(records, folder, "sleeps", datetime(2024, 1, 2), by_day=True)
+    assert load_newest(spark, folder, "sleeps", table, str(tmp_path / "t")) == 20
+
+
+def test_a_cut_snapshot_is_named_and_does_no_lasting_harm(spark, tmp_path, table, caplog):
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    text = json.dumps([{"id": 5, "user_id": 1, "start": "2024-01-01 00:00:00"}], indent=2)
+    put(folder, "cycles_2024-01-05.json", text[: text.index(', \n    "start"') if ', \n' in text else text.index('"start"')])
+    assert load_newest(spark, str(folder), "cycles", table, str(tmp_path / "t")) == 0
+    assert "cycles_2024-01-05.json" in caplog.text and not spark.catalog.tableExists(table)
+    put(folder, "cycles_2024-01-06.json", text)
+    assert load_newest(spark, str(folder), "cycles", table, str(tmp_path / "t")) == 1
+    assert contents(spark.table(table), "id", "start") == [(5, "2024-01-01 00:00:00")]
+
+
+def test_snapshots_in_other_folders_do_not_count(spark, tmp_path):
+    (tmp_path / "archive").mkdir()
+    put(tmp_path / "archive", "activities_20250101_120000.json", [{"id": 2}])
+    assert newest_snapshot(spark, str(tmp_path), "activities") is None
+    newest = put(tmp_path, "activities_20240101_120000.json", [{"id": 1}])
+    assert newest_snapshot(spark, str(tmp_path), "activities").endswith(newest)
+
+
+def test_kinds_are_streamed_as_they_are_loaded(spark, tmp_path, table):
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    for kind, rules in KINDS.items():
+        stamp = "20240101_120000" if kind == "activities" else "2024-01-01"
+        put(folder, f"{kind}_{stamp}.json", [{"id": 1, "cycle_id": 1}, {"id": 2, "cycle_id": 2}])
+        name, batch = f"{table}_{kind}", f"{table}_{kind}_batch"
+        stream = stream_kind(spark, str(folder), kind, max_files_per_trigger=1)
+        ingest_landing(stream, name, rules.id_column, str(tmp_path / f"c_{kind}"), str(tmp_path / name)).awaitTermination()
+        load_newest(spark, str(folder), kind, batch, str(tmp_path / batch))
+        columns = [c for c in spark.table(batch).columns if c != "extracted_at"]
+        assert contents(spark.table(name), *columns) == contents(spark.table(batch), *columns)
 
 
 def test_indented_array_is_read_in_pieces(spark, tmp_path):
@@ -91,16 +157,19 @@ def test_indented_array_is_read_in_pieces(spark, tmp_path):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     try:
-        pieces = read_landing(spark, path, schema, form="indented")
+        assert [f.form for f in landing_files(spark, path)] == ["indented"]
+        pieces = read_landing(spark, path, schema)
         assert pieces.rdd.getNumPartitions() > 5
-        assert contents(pieces, *pieces.columns) == contents(read_landing(spark, path, schema), *pieces.columns)
+        with open(tmp_path / "wide.json", "w") as file:
+            json.dump(records, file, indent=4)
+        assert contents(pieces, *pieces.columns) == contents(read_landing(spark, f"{tmp_path}/wide.json", schema), *pieces.columns)
         assert pieces.count() == 2000
-        everything = read_landing(spark, str(tmp_path), schema, form="indented")
+        everything = read_landing(spark, str(tmp_path), schema)
         small = everything.where("id > 9000")
         assert contents(small, "id", "distance") == [
             (9001, None), (9002, 0.5), (9003, None), (9004, None), (9005, None), (9006, None),
         ]
-        bad = unreadable_files(spark, str(tmp_path), schema, form="indented").collect()
+        bad = unreadable_files(spark, str(tmp_path)).collect()
         assert [os.path.basename(r["file_path"]) for r in bad] == ["bad.json"]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
@@ -131,7 +200,7 @@ def test_newest_snapshot(spark, tmp_path):
 def test_snapshot_of_several_part_files(spark, tmp_path):
     df = spark.range(100).withColumn("name", F.lit("x")).repartition(4)
     write_records(df, f"{tmp_path}/activities_20240301_080000.json")
-    got = read_newest(spark, str(tmp_path), "activities", SCHEMA, form="lines")
+    got = read_newest(spark, str(tmp_path), "activities", SCHEMA)
     assert got.count() == 100
 
 
@@ -203,13 +272,14 @@ def test_stream_appends_only_unseen_ids(spark, tmp_path, table):
     assert run("c2") == sorted(loaded, key=str)
 
 
-@pytest.mark.parametrize("form", ["indented", "array"])
-def test_stream_reads_arrays(spark, tmp_path, table, form):
+def test_stream_reads_arrays_and_leaves_broken_files_out(spark, tmp_path, table):
     drops = tmp_path / "drops"
     drops.mkdir()
     put(drops, "a.json", [{"id": i, "name": "x"} for i in range(50)])
     put(drops, "b.json", [{"id": 50}])
-    records = stream_landing(spark, str(drops), SCHEMA, form)
+    put(drops, "cut.json", json.dumps([{"id": i, "name": "cut"} for i in range(60, 70)], indent=2)[:-9])
+    put(drops, "bad.json", '{"id": 71}\n{"id": 72')
+    records = stream_landing(spark, str(drops), SCHEMA)
     ingest_landing(records, table, "id", str(tmp_path / "c"), str(tmp_path / "t")).awaitTermination()
     assert contents(spark.table(table).where("name is null or id = 49"), "id") == [(49,), (50,)]
     assert spark.table(table).count() == 51
@@ -269,3 +339,12 @@ def test_schema_routing():
 def test_records_keep_nulls(spark):
     df = spark.createDataFrame([(1, None)], "a int, b string")
     assert [r["record"] for r in as_records(df).collect()] == ['{"a":1,"b":null}']
+
+
+def test_a_clustered_table_is_read_by_days(spark, tmp_path, table):
+    days = spark.range(3000).select("id", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 300).cast("int")).alias("date_day"))
+    stored = rebuild_table(days.repartition(8), table, str(tmp_path / "t"), cluster_by=("date_day", "id"))
+    per_file = stored.groupBy(F.col("_metadata.file_path")).agg(F.min("date_day").alias("a"), F.max("date_day").alias("b"))
+    spans = sorted((r["a"], r["b"]) for r in per_file.collect())
+    assert len(spans) > 1 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert stored.count() == 3000

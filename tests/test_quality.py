@@ -73,6 +73,11 @@ def test_calendar_horizon(spark, today, severity):
     assert [r["severity"] for r in rows] == ([severity] if severity else [])
 
 
+def test_an_empty_calendar_is_an_error(spark):
+    rows = quality.calendar_horizon(spark.createDataFrame([], "date_day date"), date(2024, 1, 1)).collect()
+    assert [(r["end_date"], r["severity"]) for r in rows] == [(None, "error")]
+
+
 def test_calendar_counts_spine_days(spark):
     days = calendar_from(spark.createDataFrame([(date(2023, 12, 30),)], "d date"), "d", date(2024, 1, 3)).orderBy("date_day")
     got = [(str(r["date_day"]), r["day_of_year"], r["week"], r["is_weekend"]) for r in days.collect()]

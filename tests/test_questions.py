@@ -32,7 +32,8 @@ def test_date_scopes(spark):
         "this year": ("this_year", date(2025, 1, 1), date(2026, 1, 1), None, None),
         "in brunch 2024": None,
         "in total": None,
-        "last 99999999999 days": None,
+        "last 99999999999 days": ("last_days", date(1, 1, 1), None, None, 2**31 - 1),
+        "last 2147483647 days": ("last_days", date(1, 1, 1), None, None, 2**31 - 1),
         "": None,
     }
     assert scopes(spark, list(cases)) == list(cases.values())

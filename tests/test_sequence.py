@@ -139,10 +139,7 @@ def test_groups_are_limited_before_the_shuffle(spark, capsys):
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 2])
-def test_surrogate_keys_put_nulls_last(spark, monkeypatch, limit):
-    """A set above the limit for one task gets the same keys."""
-    monkeypatch.setattr(sequence, "SINGLE_TASK_ROWS", limit)
+def test_surrogate_keys_put_nulls_last(spark):
     df = spark.createDataFrame([("b",), (None,), ("a",), ("B",)], "name string")
     got = surrogate_keys(df, ("name",), "key").orderBy("key").collect()
     assert [tuple(r) for r in got] == [(1, "B"), (2, "a"), (3, "b"), (4, None)]
