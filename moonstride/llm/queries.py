@@ -21,13 +21,15 @@ from moonstride.llm import (
     warc,
 )
 from moonstride.llm.columns import crc_of_id
+from moonstride.llm.oracles import SQL
 from moonstride.llm.shipping import ship_library
 from moonstride.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+__all__ = ["QUERIES", "SQL"]
+
 QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
@@ -90,7 +92,7 @@ def op7_benchmark_passages(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark passages in all documents."""
     found = decontamination.find_passages(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
     items = F.sha2(F.concat_ws(",", "items"), 256)
-    return found.select("doc_id", "n_words", "n_hit", "n_items", items.alias("items_sha256"), "contaminated", "spans")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", items.alias("items_sha256"), "contaminated")
 
 
 @query
