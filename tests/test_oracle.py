@@ -2,9 +2,12 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from comparison import connect, differences
 
+from moonstride.catalog import oracles as oracle_sql
+from moonstride.catalog import registered as queries
+
 FOLDER = "/root/testdata/sf0.001"
 
 
