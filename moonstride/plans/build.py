@@ -85,9 +85,8 @@ class Build:
         self._table(f"fct_{track}_activities_socials", track, marts.fact_activity_socials(keyed, self.names))
         self._table("fct_activities", "semantic", marts.semantic_activities(fact, types, self.names))
 
-        staged = self._view(f"stg_{body}_sleep", staging.stage_sleeps(inputs.sleeps))
-        with_source = intermediate.numbered_sleeps(staged, moon)
-        slept = self._table(f"int_{body}_sleep", body, with_source.drop("source_sleep_id"))
+        staged_sleep = self._view(f"stg_{body}_sleep", staging.stage_sleeps(inputs.sleeps))
+        slept = self._table(f"int_{body}_sleep", body, intermediate.sleeps(staged_sleep, moon))
         sleeps = self._table(f"fct_{body}_sleeps", body, marts.fact_sleeps(slept))
         self._table(f"fct_{body}_sleep_quality", body, marts.fact_sleep_quality(slept))
 
@@ -100,7 +99,9 @@ class Build:
 
         if inputs.cycles is not None and inputs.recoveries is not None:
             cycles = intermediate.physiological_cycles(
-                staging.stage_cycles(inputs.cycles), staging.stage_recoveries(inputs.recoveries), with_source
+                self._view(f"stg_{body}_cycles", staging.stage_cycles(inputs.cycles)),
+                self._view(f"stg_{body}_recoveries", staging.stage_recoveries(inputs.recoveries)),
+                intermediate.numbered_sleeps(staged_sleep),
             )
             self._table(f"fct_{body}_physiological_cycles", body, cycles)
 

@@ -25,6 +25,16 @@ WORKOUT_NAMES = (
 )
 
 
+# Measures of a cycle that are not negative.
+CYCLE_MEASURES = (
+    "recovery_score", "resting_heart_rate", "heart_rate_variability", "skin_temp", "blood_oxygen",
+    "day_strain", "energy_burned", "max_hr", "average_hr", "sleep_performance", "respiratory_rate",
+    "asleep_duration_minutes", "in_bed_duration_minutes", "light_sleep_duration_minutes",
+    "deep_sleep_duration_minutes", "rem_duration_minutes", "awake_duration_minutes",
+    "sleep_need_minutes", "sleep_debt_minutes", "sleep_efficiency", "sleep_consistency",
+)
+
+
 def _each(kind: str, columns: list[str], argument=None) -> list[Check]:
     return [Check(kind, column, argument) for column in columns]
 
@@ -96,6 +106,17 @@ def checks_for(models: dict[str, DataFrame], names: Names = DEFAULT_NAMES) -> di
         present = (f"{number}_of_day", "date_day", "workout_start_time", "workout_end_time")
         return _key(number) + _present(*present) + [Check("at_least", "duration_minutes", 0)]
 
+    def cycles(df: DataFrame) -> list[Check]:
+        slept = models[f"int_{body}_sleep"]
+        return (
+            _present(
+                "cycle_start_time", "cycle_end_time", "cycle_timezone", "sleep_onset", "wake_onset",
+                "sleep_performance", "respiratory_rate",
+            )
+            + _each("at_least", [c for c in CYCLE_MEASURES if c in df.columns], 0)
+            + [Check("unique", "sleep_id"), Check("relationships", "sleep_id", "sleep_id", parent=slept)]
+        )
+
     def mapping(df: DataFrame) -> list[Check]:
         return _key("original_activity_name") + _present("aligned_activity_name", "is_sport_exercise")
 
@@ -107,6 +128,9 @@ def checks_for(models: dict[str, DataFrame], names: Names = DEFAULT_NAMES) -> di
         f"int_{track}_activities": built_activity,
         f"int_{body}_sleep": built_sleep,
         f"int_{body}_workouts": built_workout,
+        f"stg_{body}_cycles": lambda df: _key("cycle_id"),
+        f"stg_{body}_recoveries": lambda df: _key("cycle_id"),
+        f"fct_{body}_physiological_cycles": cycles,
         "fct_activities": lambda df: activities_number("activity_name"),
         "dim_dates": lambda df: _key("date_day"),
     }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from moonstride.functions.measures import as_decimal2, as_integer, minutes_from_millis
 from moonstride.sources.seeds import moon_calendar_columns
@@ -20,7 +21,21 @@ __all__ = [
 ]
 
 _POINTS = ("start", "end")
-_COUNTS = ("achievement_count", "kudos_count", "comment_count", "athlete_count")
+
+# Columns of staged activities and their types, in order.
+ACTIVITY_COLUMNS = """
+    activity_id bigint, name string, type string, sport_type string,
+    start_date timestamp_ntz, start_date_local timestamp_ntz, timezone string,
+    distance double, moving_time int, elapsed_time int, total_elevation_gain double,
+    average_speed double, max_speed double,
+    average_heartrate double, max_heartrate double, average_watts double,
+    kilojoules double, average_cadence double,
+    achievement_count int, kudos_count int, comment_count int, athlete_count int,
+    trainer boolean, commute boolean, manual boolean, private boolean, flagged boolean,
+    gear_id string,
+    start_latitude double, start_longitude double, end_latitude double, end_longitude double,
+    extracted_at timestamp_ntz
+"""
 
 
 def flatten_activities(raw: DataFrame) -> DataFrame:
@@ -45,11 +60,23 @@ def _moment(name: str) -> Column:
 
 
 def stage_activities(flat: DataFrame) -> DataFrame:
-    """Typed activities. Columns keep their order; only types change."""
-    typed = {name: _moment(name) for name in ("start_date", "start_date_local", "extracted_at")}
-    typed |= {name: as_integer(F.col(name)) for name in ("moving_time", "elapsed_time", *_COUNTS)}
-    typed["activity_id"] = F.col("activity_id").cast("bigint")
-    return flat.withColumns(typed)
+    """The columns of ``ACTIVITY_COLUMNS``, cast to their types; any other raw column is left out.
+
+    A text that is no number gives null.
+    """
+
+    def typed(name: str, kind: T.DataType) -> Column:
+        column = F.col(name)
+        if isinstance(kind, T.TimestampNTZType):
+            return _moment(name)
+        if isinstance(kind, T.IntegerType):
+            return as_integer(column.try_cast("double"))
+        if isinstance(kind, T.StringType):
+            return column.cast("string")
+        return column.try_cast(kind)
+
+    layout = T.StructType.fromDDL(ACTIVITY_COLUMNS)
+    return flat.select(*(typed(f.name, f.dataType).alias(f.name) for f in layout.fields))
 
 
 def stage_sleeps(raw: DataFrame) -> DataFrame:

@@ -5,11 +5,13 @@ import uuid
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from moonstride.plans.build import Build, Inputs
 from moonstride.plans.checks import run_checks
 from moonstride.plans.names import Names
-from moonstride.plans.staging import flatten_activities
+from moonstride.plans.staging import ACTIVITY_COLUMNS, flatten_activities, stage_activities
 from moonstride.sources import read_landing
 from moonstride.sources import schemas as S
 from moonstride.sources.literals import literal_table
@@ -37,15 +39,15 @@ def sleep(key, start, end, nap):
         "need_from_recent_nap_milli": 2 * HOUR,
     }
     score = {
-        "stage_summary": stages, "sleep_needed": need, "respiratory_rate": 16.11328125,
-        "sleep_performance_percentage": 98, "sleep_consistency_percentage": 90, "sleep_efficiency_percentage": 91.695,
+        "stage_summary": stages, "sleep_needed": need, "respiratory_rate": 14.20703125,
+        "sleep_performance_percentage": 98, "sleep_consistency_percentage": 90, "sleep_efficiency_percentage": 88.41,
     }
     return {"id": key, "start": start, "end": end, "nap": nap, "score": score}
 
 
 def workout(key, start, end, sport, percent=100):
     zones = {f"zone_{n}_milli": 60000 for n in ("zero", "one", "two", "three", "four", "five")}
-    score = {"strain": 8.2, "average_heart_rate": 123, "max_heart_rate": 146, "kilojoule": 1569.3,
+    score = {"strain": 7.5, "average_heart_rate": 118, "max_heart_rate": 151, "kilojoule": 1204.6,
              "percent_recorded": percent, "zone_durations": zones}
     return {"id": key, "start": start, "end": end, "sport_id": 1, "sport_name": sport, "score": score}
 
@@ -128,7 +130,7 @@ def test_sleeps(built):
     ]
     first = models["int_band_sleep"].where("sleep_id = 1").first()
     assert (first["asleep_duration_minutes"], first["asleep_duration_hours"], first["sleep_need_hours"]) == (480, 8, 8)
-    assert str(first["respiratory_rate"]) == "16.11" and str(first["sleep_efficiency"]) == "91.70"
+    assert str(first["respiratory_rate"]) == "14.21" and str(first["sleep_efficiency"]) == "88.41"
     quality = spark.table(f"{prefix}band.fct_band_sleep_quality")
     assert "nap" in quality.columns and not [c for c in quality.columns if "duration" in c]
     unscored = models["int_band_sleep"].where("sleep_id = 4").first()
@@ -173,7 +175,26 @@ def test_declared_checks(built):
         ("stg_band_workouts", "percent_recorded", "at_most", 1),
         ("int_band_sleep", "date_day", "relationships", 1),
         ("fct_activities", "activity_name", "not_null", 1),
+        ("fct_band_physiological_cycles", "cycle_start_time", "not_null", 1),
+        ("fct_band_physiological_cycles", "cycle_end_time", "not_null", 2),
+        ("fct_band_physiological_cycles", "cycle_timezone", "not_null", 2),
+        ("fct_band_physiological_cycles", "sleep_onset", "not_null", 1),
+        ("fct_band_physiological_cycles", "wake_onset", "not_null", 1),
+        ("fct_band_physiological_cycles", "sleep_performance", "not_null", 1),
+        ("fct_band_physiological_cycles", "respiratory_rate", "not_null", 1),
         ("dim_dates", "date_day", "calendar_horizon", 1),
     }
     severity = {r["check_name"]: r["severity"] for r in found}
     assert severity["calendar_horizon"] == "warn"
+
+
+def test_staged_activities_keep_to_their_contract(spark):
+    raw = spark.createDataFrame(
+        [(1, "far", "7.6", "x", True), (2, "3.5", None, "y", None)], "activity_id int, distance string, moving_time string, extra string, trainer boolean"
+    )
+    fields = T.StructType.fromDDL(ACTIVITY_COLUMNS).fields
+    raw = raw.withColumns({f.name: F.lit(None).cast("string") for f in fields if f.name not in raw.columns})
+    staged = stage_activities(raw)
+    assert [(f.name, f.dataType) for f in staged.schema.fields] == [(f.name, f.dataType) for f in fields]
+    got = staged.select("activity_id", "distance", "moving_time").orderBy("activity_id").collect()
+    assert [tuple(r) for r in got] == [(1, None, 8), (2, 3.5, None)]
