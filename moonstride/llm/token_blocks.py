@@ -13,6 +13,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -73,25 +74,30 @@ def pack_blocks(ids: np.ndarray, percentile: float = 0.9) -> list[bytes]:
     return out
 
 
-def unpack_block(data: bytes) -> np.ndarray:
-    """The ids of one block."""
-    head = np.frombuffer(data, _HEAD, 1)[0]
-    n, width, outliers = int(head["n"]), int(head["width"]), int(head["outliers"])
-    at, lanes = _HEAD.itemsize, np.zeros((_LANES, 64), np.uint64)
-    if width:
-        words = np.frombuffer(data, "<u8", _LANES * width, at).reshape(_LANES, width)
-        at += 8 * _LANES * width
-        mask = np.uint64((1 << width) - 1)
+def unpack_blocks(data: bytes, starts: np.ndarray) -> np.ndarray:
+    """The ids of neighbouring blocks, which begin at ``starts`` in ``data``; blocks of one width are unpacked together."""
+    heads = np.concatenate([np.frombuffer(data, _HEAD, 1, at) for at in starts.tolist()])
+    rest = np.zeros((len(heads), BLOCK), np.uint32)
+    for width in np.unique(heads["width"]).tolist():
+        rows = np.flatnonzero(heads["width"] == width)
+        if not width:
+            continue
+        size = 8 * _LANES * width
+        words = b"".join([data[at : at + size] for at in (starts[rows] + _HEAD.itemsize).tolist()])
+        words = np.frombuffer(words, "<u8").reshape(len(rows) * _LANES, width).T.copy()
+        lanes, mask = np.empty((64, len(rows) * _LANES), np.uint64), np.uint64((1 << width) - 1)
         for lane in range(64):
             word, shift = divmod(lane * width, 64)
-            value = words[:, word] >> np.uint64(shift)
+            value = words[word] >> np.uint64(shift)
             if shift + width > 64:
-                value = value | words[:, word + 1] << np.uint64(64 - shift)
-            lanes[:, lane] = value & mask
-    rest = lanes.reshape(-1).astype(np.uint32)
-    where = np.frombuffer(data, "<u2", outliers, at)
-    rest[where] = np.frombuffer(data, "<u4", outliers, at + 2 * outliers)
-    return rest[:n] + head["minimum"]
+                value |= words[word + 1] << np.uint64(64 - shift)
+            np.bitwise_and(value, mask, out=lanes[lane])
+        rest[rows] = lanes.T.reshape(len(rows), BLOCK)
+    for row in np.flatnonzero(heads["outliers"]).tolist():
+        outliers, at = int(heads["outliers"][row]), int(starts[row]) + _HEAD.itemsize + 8 * _LANES * int(heads["width"][row])
+        rest[row, np.frombuffer(data, "<u2", outliers, at)] = np.frombuffer(data, "<u4", outliers, at + 2 * outliers)
+    rest += heads["minimum"][:, None]
+    return rest[np.arange(BLOCK) < heads["n"][:, None]]
 
 
 class PieceEncoder(dict):
@@ -100,7 +106,7 @@ class PieceEncoder(dict):
     Pieces are encoded once and remembered, up to ``limit`` of them twice over.
     """
 
-    def __init__(self, path: str, limit: int = 300_000) -> None:
+    def __init__(self, path: str, limit: int = 450_000) -> None:
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
@@ -111,7 +117,7 @@ class PieceEncoder(dict):
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [pack(f"<{len(e)}I", *e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode_all(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text. Texts with special tokens written out are encoded whole."""
@@ -120,9 +126,10 @@ class PieceEncoder(dict):
         if len(self) >= self.limit:
             self.older = dict(self)
             self.clear()
-        new = {p for of_text in pieces for p in of_text if p not in self}
-        self.update((p, self.older[p]) for p in new if p in self.older)
-        new = [p for p in new if p not in self]
+        new = set().union(*pieces) - self.keys()
+        again = new & self.older.keys()
+        self.update((p, self.older[p]) for p in again)
+        new = list(new - again)
         self.update(zip(new, self._ids(new)))
         for text, w, of_text in zip(texts, whole, pieces):
             yield self._ids([text])[0] if w else b"".join(map(self.__getitem__, of_text))
@@ -209,7 +216,7 @@ def write_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str,
     return stage(ordered.mapInArrow(run, kinds), "token-manifest")
 
 
-def _read_unit(data, at_doc: int, n_docs: int, at_id: int, n_ids: int) -> Iterator[tuple[int | None, Iterator[np.ndarray]]]:
+def _read_unit(data, at_doc: int, n_docs: int, at_id: int, n_ids: int) -> Iterator[tuple[int | None, list[np.ndarray]]]:
     data.seek(data.size() - _FOOT.itemsize)
     foot = np.frombuffer(data.read(), _FOOT)[0]
     if foot["magic"] != _MAGIC:
@@ -222,15 +229,18 @@ def _read_unit(data, at_doc: int, n_docs: int, at_id: int, n_ids: int) -> Iterat
     starts = np.frombuffer(data.read(8 * (last - first + 1)), "<u8").astype(np.int64)
     data.seek(table + _DOC.itemsize * at_doc)
     wanted = np.frombuffer(data.read(_DOC.itemsize * n_docs), _DOC)
-    place, block, ids = at_id, -1, None
+    place, held, ids = at_id, range(0), None  # ids are those at the places `held`
     for doc in wanted:
         left, parts = int(doc["n"]), []
         while left:
-            if place // BLOCK != block:
-                block = place // BLOCK
-                data.seek(int(starts[block - first]))
-                ids = unpack_block(data.read(int(starts[block - first + 1] - starts[block - first])))
-            take = ids[place % BLOCK :][:left]
+            if place not in held:
+                block = place // BLOCK - first
+                until = min(block + _TOGETHER, last - first)
+                data.seek(int(starts[block]))
+                content = data.read(int(starts[until] - starts[block]))
+                ids = unpack_blocks(content, starts[block:until] - starts[block])
+                held = range((block + first) * BLOCK, (block + first) * BLOCK + len(ids))
+            take = ids[place - held.start :][:left]
             parts.append(take)
             place, left = place + len(take), left - len(take)
         yield (None if doc["null"] else int(doc["id"])), parts
