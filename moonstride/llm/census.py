@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from moonstride.llm.columns import pieces_of
 from moonstride.session import scratch_path, stage
 
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 # keys a range should hold, so that whoever answers holds a few times this many
 KEYS_PER_RANGE = 1 << 20
 

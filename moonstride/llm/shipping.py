@@ -12,10 +12,15 @@ from pyspark.sql import SparkSession
 from moonstride.session import scratch_path
 
 _SHIPPED: set[str] = set()
+ARROW_BATCH_BYTES = 8 << 20
 
 
 def ship_library(spark: SparkSession) -> None:
-    """Add the package to the session's Python files, once; needed where it is not installed on the executors."""
+    """Add the package to the session's Python files, once; needed where it is not installed on the executors.
+
+    Also keeps what goes to a Python worker at a time to ``ARROW_BATCH_BYTES``, so long texts do not pile up.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
