@@ -19,6 +19,7 @@ from moonstride.llm.columns import whole_row
 from moonstride.session import scratch_path, stage
 
 _KEY = ["h1", "h2"]
+_RUN = "h1 long, h2 long, docs long, last long"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BLANKS = " \t\n\x0b\x0c\r"
 
@@ -54,7 +55,7 @@ class LineRuns:
 
     def _merged(self, tables: list[str]) -> DataFrame:
         # read as plain files: Spark 4.1 takes a union of bucketed scans as dealt by key, which it is not
-        rows = reduce(DataFrame.union, (self.spark.read.parquet(self.paths[t]) for t in tables))
+        rows = reduce(DataFrame.union, (self.spark.read.schema(_RUN).parquet(self.paths[t]) for t in tables))
         return rows.groupBy(*_KEY).agg(F.sum("docs").alias("docs"), F.max("last").alias("last"))
 
     def add(self, lines: DataFrame) -> None:
