@@ -65,3 +65,34 @@ SQL = {
                CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM w LEFT JOIN hit h ON w.doc_id = h.doc_id LEFT JOIN listed x ON w.doc_id = x.doc_id""",
 }
+
+
+def _clusters(rounds: int = 10) -> str:
+    """Ten rounds of assignment and floored means, one after another."""
+    apart = "list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    steps = []
+    for r in range(1, rounds + 2):
+        steps.append(f"""
+        a{r} AS MATERIALIZED (
+            SELECT v.n, any_value(v.vec_id) AS vec_id, any_value(v.x) AS x, min({{'d': {apart}, 'c': c.c}}) AS best
+            FROM v, c{r - 1} c GROUP BY v.n)""")
+        if r <= rounds:
+            steps.append(f"""
+        s{r} AS (SELECT best['c'] AS c, i, CAST(sum(x[i]) AS HUGEINT) AS total, count(*) AS n
+                 FROM (SELECT best, x, unnest(range(1, 65)) AS i FROM a{r}) GROUP BY 1, 2),
+        m{r} AS (SELECT c, list(CAST((total - ((total % n) + n) % n) // n AS BIGINT) ORDER BY i) AS x FROM s{r} GROUP BY c),
+        c{r} AS MATERIALIZED (SELECT o.c, coalesce(m{r}.x, o.x) AS x FROM c{r - 1} o LEFT JOIN m{r} ON o.c = m{r}.c)""")
+    return f"""
+        WITH fit AS (
+            SELECT vec_id, list_transform(embedding, lambda e: CAST(floor(1024 * CAST(e AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+        v AS MATERIALIZED (
+            SELECT *, row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, x) - 1 AS n FROM fit),
+        c0 AS MATERIALIZED (SELECT n AS c, x FROM v WHERE n < 8),{",".join(steps)}
+        SELECT a.vec_id, CAST(a.best['c'] AS INTEGER) AS cluster, CAST(a.best['d'] AS BIGINT) AS distance,
+               CAST(sum(a.best['d']) OVER (PARTITION BY a.best['c']) AS BIGINT) AS cluster_inertia,
+               CAST(sum(a.best['d']) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+        FROM a{rounds + 1} a JOIN c{rounds} c ON a.best['c'] = c.c"""
+
+
+SQL["op12_bisector_clusters"] = _clusters()

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moonstride.llm import (
+    bisectors,
     bpe_automaton,
     decontamination,
     jaccard_trie,
@@ -16,6 +17,7 @@ from moonstride.llm import (
     language_codes,
     line_runs,
     quality_ledger,
+    sentence_pieces,
     substring_dedup,
     token_blocks,
     warc,
@@ -32,6 +34,7 @@ __all__ = ["QUERIES", "SQL"]
 QUERIES: dict[str, Query] = {}
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 END_ID = 2
 
 
@@ -116,3 +119,16 @@ def op9_language_codes(spark: SparkSession, folder: str) -> DataFrame:
 def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of near duplicates among all documents."""
     return jaccard_trie.near_duplicates(read_table(spark, folder, "documents"))
+
+
+@query
+def op12_bisector_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """All embeddings in eight clusters after ten rounds."""
+    found = bisectors.cluster(read_table(spark, folder, "embeddings"))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+@query
+def op13_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents encoded and decoded by backtracking over pieces."""
+    return sentence_pieces.encode_and_decode(read_table(spark, folder, "documents"), PIECES)
