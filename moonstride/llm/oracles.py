@@ -96,3 +96,75 @@ def _clusters(rounds: int = 10) -> str:
 
 
 SQL["op12_bisector_clusters"] = _clusters()
+
+
+_STEP = "CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END"
+_CRC_TABLE = f"""
+        crc_table AS (SELECT list(v ORDER BY b) AS rest FROM (
+            SELECT b, list_reduce(range(8), lambda c, k: {_STEP}, b) AS v FROM range(256) r(b)))"""
+
+
+def _crc(text: str) -> str:
+    """crc32 of ASCII text, byte by byte, with ``crc_table`` among the tables read."""
+    codes = f"list_transform(range(1, len({text}) + 1), lambda i: CAST(ord(({text})[i]) AS BIGINT))"
+    return f"xor(list_reduce({codes}, lambda c, b: xor(c >> 8, rest[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"
+
+
+def _repairs() -> str:
+    """Cheapest edits by a recursion over rows that keeps the least (cost, edits) of every state."""
+    return r"""
+        WITH RECURSIVE""" + _CRC_TABLE + r""",
+        hit AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, """ + _crc(
+        "coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')"
+    ) + r""" % 20 AS pmod FROM conversations, crc_table),
+        hurt AS (
+            SELECT conv_id, turn, CASE WHEN pmod = 4 THEN 'user' ELSE role END AS role,
+                   CASE pmod WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(CASE WHEN pmod = 3 THEN [0, 1] ELSE [0] END) AS copy FROM hit WHERE pmod <> 0),
+        seen AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS k,
+                   regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS t FROM hurt),
+        judged AS (
+            SELECT *, t = '' AS blank, t <> '' AND k > 1 AS dup, t <> '' AND k = 1 AND right(t, 1) NOT IN ('.', '!', '?') AS trunc,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i FROM seen),
+        counts AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank,
+                   count_if(dup) AS duplicate, count_if(trunc) AS truncated, count_if(odd) AS illegal, count(*) AS n
+            FROM (SELECT *, left(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1) || left(role, 1) NOT IN ('su', 'ua', 'au') AS odd
+                  FROM judged) GROUP BY conv_id),
+        convs AS (
+            SELECT a.conv_id, coalesce(c.gaps, 0) AS gaps, CAST(coalesce(c.blank, 0) AS BIGINT) AS blank, CAST(coalesce(c.duplicate, 0) AS BIGINT) AS duplicate,
+                   CAST(coalesce(c.truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(c.illegal, 0) AS BIGINT) AS illegal, coalesce(c.n, 0) AS n
+            FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN counts c ON a.conv_id IS NOT DISTINCT FROM c.conv_id),
+        put(p, q, cost, e, t) AS (VALUES
+            ('-', '-', 0, '', ''), ('s', 's', 0, '', ''), ('u', 'u', 0, '', ''), ('a', 'a', 0, '', ''),
+            ('-', 'u', 2, 'I', 'user:;'), ('s', 'u', 2, 'I', 'user:;'), ('a', 'u', 2, 'I', 'user:;'), ('u', 'a', 2, 'I', 'assistant:;'),
+            ('-', 'a', 4, 'II', 'user:;assistant:;'), ('s', 'a', 4, 'II', 'user:;assistant:;')),
+        turn_to(q, r, name) AS (VALUES ('-', 's', 'system'), ('-', 'u', 'user'), ('s', 'u', 'user'), ('u', 'a', 'assistant'), ('a', 'u', 'user')),
+        act AS (
+            SELECT conv_id, i, q, r, w.cost, w.e, w.t FROM (
+                SELECT j.*, m.q, m.r, unnest([
+                    CASE WHEN left(role, 1) = m.r THEN {'cost': CAST(trunc AS INT), 'e': 'K', 't': role || ':' || text || chr(10)} END,
+                    CASE WHEN m.r <> 's' THEN {'cost': 2 + CAST(trunc AS INT), 'e': 'R', 't': m.name || ':' || text || chr(10)} END]) AS w
+                FROM judged j, turn_to m WHERE NOT (blank OR dup)) WHERE w IS NOT NULL
+            UNION ALL SELECT conv_id, i, p, p, 3, 'D', '' FROM judged, put WHERE p = q),
+        path AS (
+            SELECT conv_id, CAST(0 AS BIGINT) AS i, '-' AS st, {'cost': 0, 'e': '', 't': ''} AS best FROM convs
+            UNION ALL
+            SELECT path.conv_id, path.i + 1, act.r,
+                   min({'cost': best['cost'] + put.cost + act.cost, 'e': best['e'] || put.e || act.e,
+                        't': best['t'] || replace(put.t, ';', chr(10)) || act.t})
+            FROM path JOIN put ON put.p = path.st
+            JOIN act ON act.conv_id IS NOT DISTINCT FROM path.conv_id AND act.i = path.i + 1 AND act.q = put.q
+            GROUP BY path.conv_id, path.i, act.r),
+        ended AS (
+            SELECT c.conv_id, min({'cost': best['cost'] + put.cost, 'e': best['e'] || put.e, 't': best['t'] || replace(put.t, ';', chr(10))}) AS best
+            FROM convs c JOIN path ON c.conv_id IS NOT DISTINCT FROM path.conv_id AND c.n = path.i
+            JOIN put ON put.p = path.st AND put.q IN ('-', 'a') GROUP BY c.conv_id)
+        SELECT c.conv_id, gaps, blank, duplicate, truncated, illegal, CAST(best['cost'] AS BIGINT) AS cost, best['e'] AS audit,
+               sha256(CASE WHEN best['t'] = '' THEN '' ELSE left(best['t'], -1) END) AS repaired_sha256
+        FROM convs c JOIN ended e ON c.conv_id IS NOT DISTINCT FROM e.conv_id"""
+
+
+SQL["op11_survivor_repair"] = _repairs()

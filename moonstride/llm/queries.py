@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from moonstride.llm import (
     bisectors,
     bpe_automaton,
+    conversation_repair,
     decontamination,
     jaccard_trie,
     katz,
@@ -121,6 +122,13 @@ def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_trie.near_duplicates(read_table(spark, folder, "documents"))
 
 
+@query
+def op11_survivor_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, damaged and repaired."""
+    damaged = conversation_repair.damage(read_table(spark, folder, "conversations"))
+    return conversation_repair.repair(damaged, damaged=True)
+
+
 @query
 def op12_bisector_clusters(spark: SparkSession, folder: str) -> DataFrame:
     """All embeddings in eight clusters after ten rounds."""
