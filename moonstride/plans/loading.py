@@ -8,13 +8,13 @@ from pyspark.sql import SparkSession
 
 from moonstride.operators.load import append_new
 from moonstride.plans.staging import flatten_activities
+from moonstride.session import release
 from moonstride.sources import schemas
 from moonstride.sources.landing import (
     DAY_STAMP,
     SECOND_STAMP,
-    landing_files,
+    land,
     newest_snapshot,
-    read_files,
     warn_unreadable,
 )
 
@@ -48,11 +48,11 @@ def load_newest(spark: SparkSession, folder: str, kind: str, table: str, path: s
     snapshot = newest_snapshot(spark, folder, kind, rules.stamp)
     if snapshot is None:
         return 0
-    files = landing_files(spark, snapshot)
-    warn_unreadable(files)
-    if not any(file.sound for file in files):
+    landed = land(spark, snapshot, rules.layout)
+    warn_unreadable(landed.files)
+    if not any(file.sound for file in landed.files):
         return 0
-    records = read_files(spark, files, rules.layout)
-    if rules.is_activity:
-        records = flatten_activities(records)
-    return append_new(records, table, rules.id_column, path)
+    records = flatten_activities(landed.records) if rules.is_activity else landed.records
+    added = append_new(records, table, rules.id_column, path)
+    release(landed.parsed)
+    return added

@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from moonstride.session import stage
+from moonstride.sources.arrays import array_elements
+
 _LOG = logging.getLogger(__name__)
 
 # Stamp layouts of the landing file names, as (regex, Spark pattern).
@@ -23,11 +26,17 @@ END_OF_ELEMENT = "\n  },"
 
 FILE, WRITTEN = "_landing_file", "_landing_time"
 
+# a line longer than this makes its file an array, whose elements are told apart without reading lines
+LONGEST_LINE = 4 << 20
+_PACKED = r"\.(gz|gzip|bz2|zst|lz4|snappy|deflate|xz)$"
+FORMS = ("lines", "indented", "array", "whole")
+
 
 @dataclass(frozen=True)
 class LandingFile:
     """``form``: ``lines`` (a record or an array per line), ``indented`` (an array indented by two
-    blanks) or ``array`` (anything else). ``sound``: every part of it is JSON and its end is there."""
+    blanks), ``array`` (anything else) or ``whole`` (the same, compressed). ``sound``: every part of it is
+    JSON and its end is there."""
 
     path: str
     form: str
@@ -43,17 +52,23 @@ def _located(texts: DataFrame) -> DataFrame:
 
 
 def _forms(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The form of every file that is not blank, from counts of its lines."""
+    """The form of every file that is not blank, from counts of its lines.
+
+    Lines beyond ``LONGEST_LINE`` are passed over, which shows in the bytes that are missing.
+    """
     line = F.rtrim(F.regexp_replace("value", "\r$", ""))
     bare = F.btrim("value", F.lit(" \t\r"))
     whole = (bare.startswith("{") & bare.endswith("}")) | (bare.startswith("[") & bare.endswith("]"))
     count = lambda condition: F.count_if(condition)
+    read = spark.read.option("lineSep", "\n").option("mapreduce.input.linerecordreader.line.maxlength", LONGEST_LINE)
     facts = (
-        _located(spark.read.text(paths))
-        .where(bare != "")
+        read.text(paths)
+        .select("value", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_size").alias("size"))
         .groupBy(FILE)
         .agg(
-            F.count(F.lit(1)).alias("lines"),
+            F.max("size").alias("size"),
+            F.sum(F.octet_length("value") + 1).alias("bytes"),
+            count(bare != "").alias("lines"),
             count(whole).alias("whole"),
             count(line == "[").alias("opens"),
             count(line == "]").alias("closes"),
@@ -63,16 +78,23 @@ def _forms(spark: SparkSession, paths: list[str]) -> DataFrame:
             count(line.rlike("^ ?[^ ]|^  [^ ]") & ~line.isin("[", "]", "  {", "  },", "  }")).alias("other"),
         )
     )
-    indented = "opens = 1 AND closes = 1 AND ends = 1 AND begins = goes_on + 1 AND other = 0"
-    form = F.when(F.col("lines") == F.col("whole"), "lines").when(F.expr(indented), "indented").otherwise("array")
+    packed = F.col(FILE).rlike(_PACKED)
+    seen = packed | (F.col("bytes") >= F.col("size") - 4)  # a byte order mark and the last line's end may be missing
+    indented = F.expr("opens = 1 AND closes = 1 AND ends = 1 AND begins = goes_on + 1 AND other = 0") & ~packed
+    form = (
+        F.when(seen & (F.col("lines") == 0), None)
+        .when(seen & (F.col("lines") == F.col("whole")), "lines")
+        .when(seen & indented, "indented")
+        .otherwise(F.when(packed, "whole").otherwise("array"))
+    )
     return facts.select(FILE, form.alias("form"))
 
 
 def _arrays(spark: SparkSession, paths: list[str], form: str) -> DataFrame:
-    """Each part of the files as the text of a JSON array (``value``), with its file.
+    """Each part of the files as the text of a JSON array (``value``), with its file; empty text is no part of one.
 
-    Files of records per line and indented arrays are split over tasks: a piece of an array lacks the
-    brackets that its neighbours hold, and the brace where it was cut.
+    All files but compressed ones are split over tasks. A piece of an indented array lacks the brackets that
+    its neighbours hold, and the brace where it was cut.
     """
     if form == "lines":
         bare = F.btrim("value", F.lit(" \t\r"))
@@ -83,6 +105,8 @@ def _arrays(spark: SparkSession, paths: list[str], form: str) -> DataFrame:
         piece = F.col("value")
         opens, closes = piece.rlike(r"^\s*\["), piece.rlike(r"\n\]\s*$")
         return read.withColumn("value", F.concat(F.when(opens, "").otherwise("["), piece, F.when(closes, "").otherwise("}]")))
+    if form == "array":
+        return array_elements(spark, paths).select("value", F.col("_file").alias(FILE), F.col("_written").alias(WRITTEN))
     return _located(spark.read.text(paths, wholetext=True))
 
 
@@ -93,19 +117,13 @@ def _is_array(text: Column) -> Column:
     return bare.startswith("[") & bare.endswith("]") & F.get_json_object(wrapped, "$").isNotNull()
 
 
-def landing_files(spark: SparkSession, path: str | list[str]) -> list[LandingFile]:
-    """Form and soundness of every file, found in two distributed readings; an empty file is not sound.
-
-    What reaches the driver is a row per file, like Spark's own listing.
-    """
+def _found(spark: SparkSession, path: str | list[str]) -> tuple[list[str], dict[str, str]]:
+    """All files, and the form of those that are not blank. What reaches the driver is a row per file, like Spark's own listing."""
     names = list(spark.read.format("binaryFile").load(path).inputFiles())  # empty files too
-    forms = {r[FILE]: r["form"] for r in (_forms(spark, names).collect() if names else [])}
-    broken: set[str] = set()
-    for form in ("lines", "indented", "array"):
-        chosen = [p for p, f in forms.items() if f == form]
-        if chosen:
-            bad = _arrays(spark, chosen, form).where(~_is_array(F.col("value"))).select(FILE).distinct()
-            broken |= {r[FILE] for r in bad.collect()}
+    return names, {r[FILE]: r["form"] for r in (_forms(spark, names).collect() if names else []) if r["form"]}
+
+
+def _judged(names: list[str], forms: dict[str, str], broken: set[str]) -> list[LandingFile]:
     known = {_plain(p): p for p in forms}
     return [
         LandingFile(known.get(_plain(n), n), forms.get(known.get(_plain(n)), "array"), _plain(n) in known and known[_plain(n)] not in broken)
@@ -113,35 +131,71 @@ def landing_files(spark: SparkSession, path: str | list[str]) -> list[LandingFil
     ]
 
 
+def _parts(spark: SparkSession, forms: dict[str, str]) -> list[DataFrame]:
+    chosen = {form: [p for p, f in forms.items() if f == form] for form in FORMS}
+    return [_arrays(spark, paths, form).select("value", FILE, WRITTEN) for form, paths in chosen.items() if paths]
+
+
+def _broken(parts: DataFrame, sound: Column) -> set[str]:
+    return {r[FILE] for r in parts.where(~sound).select(FILE).distinct().collect()}
+
+
+def landing_files(spark: SparkSession, path: str | list[str]) -> list[LandingFile]:
+    """Form and soundness of every file; an empty file is not sound."""
+    names, forms = _found(spark, path)
+    parts = _parts(spark, forms)
+    sound = _is_array(F.col("value")) & F.from_json("value", "array<struct<any: string>>").isNotNull()
+    return _judged(names, forms, _broken(reduce(DataFrame.union, parts), sound) if parts else set())
+
+
 def _plain(path: str) -> str:
     return re.sub(r"^file:/+", "/", path)
 
 
-def read_files(spark: SparkSession, files: list[LandingFile], schema: str, origin: bool = False) -> DataFrame:
-    """Records of the sound ones of ``files``; with ``origin`` also the file and when it was written."""
+@dataclass(frozen=True)
+class Landed:
+    """``records`` of the sound ones of ``files``, from the table ``parsed`` (None without files) in the shared folder."""
+
+    records: DataFrame
+    files: list[LandingFile]
+    parsed: DataFrame | None
+
+
+def land(spark: SparkSession, path: str | list[str], schema: str, origin: bool = False) -> Landed:
+    """Records of landing files, parsed once; with ``origin`` also the file and when it was written.
+
+    A first reading finds the forms from counts of lines. A second one parses and checks every part and
+    writes what it found, so whoever reads the records several times does not parse them again; a file
+    with a part that is no JSON is then left out as a whole.
+    """
     layout = T.StructType.fromDDL(schema)
     extra = [FILE, WRITTEN] if origin else []
-    parts = []
-    for form in ("lines", "indented", "array"):
-        chosen = [f.path for f in files if f.sound and f.form == form]
-        if chosen:
-            records = F.filter(F.from_json("value", T.ArrayType(layout)), lambda r: r.isNotNull())
-            parts.append(_arrays(spark, chosen, form).select(records.alias("records"), *extra).select(F.inline("records"), *extra))
+    names, forms = _found(spark, path)
+    parts = _parts(spark, forms)
     if not parts:
         more = [T.StructField(FILE, T.StringType()), T.StructField(WRITTEN, T.TimestampType())] if origin else []
-        return spark.createDataFrame([], T.StructType([*layout.fields, *more]))
-    return reduce(DataFrame.union, parts)
+        return Landed(spark.createDataFrame([], T.StructType([*layout.fields, *more])), _judged(names, forms, set()), None)
+    parsed_value = F.from_json("value", T.ArrayType(layout))  # null if something else than records is there
+    sound = _is_array(F.col("value")) & parsed_value.isNotNull()
+    records = F.filter(parsed_value, lambda r: r.isNotNull())
+    checked = reduce(DataFrame.union, parts).select(FILE, WRITTEN, sound.alias("sound"), records.alias("records"))
+    parsed = stage(checked, "landed")
+    broken = _broken(parsed, F.col("sound"))
+    kept = parsed
+    if broken:
+        lost = spark.createDataFrame([(p,) for p in sorted(broken)], "_lost string")
+        kept = parsed.join(lost, F.col(FILE) == F.col("_lost"), "left_anti")
+    return Landed(kept.select(F.inline("records"), *extra), _judged(names, forms, broken), parsed)
 
 
 def read_landing(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
     """Records of JSON landing files, laid out in any way.
 
-    A file counts as a whole or not at all: one that is cut off, damaged anywhere or empty yields no
-    record, and ``unreadable_files`` names it. A field of a wrong type is null. Files with a record or an
-    array per line and arrays indented by two blanks are split over tasks; another layout is read
-    by one task per file.
+    A file counts as a whole or not at all: one that is cut off, damaged anywhere or empty, or that holds
+    something else than records and nulls, yields no record, and ``unreadable_files`` names it. A field of a wrong type is null. Files are split over tasks
+    whatever their layout (``sources.arrays``), but for compressed ones, which a task reads from the start.
     """
-    return read_files(spark, landing_files(spark, path), schema)
+    return land(spark, path, schema).records
 
 
 def unreadable_files(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -11,8 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 from moonstride.operators.load import append_new
 from moonstride.plans.loading import KINDS
 from moonstride.plans.staging import flatten_activities
-from moonstride.session import release, stage
-from moonstride.sources.landing import FILE, WRITTEN, landing_files, read_files, warn_unreadable
+from moonstride.session import release
+from moonstride.sources.landing import FILE, WRITTEN, land, warn_unreadable
 
 
 @dataclass(frozen=True)
@@ -71,15 +71,12 @@ def ingest_landing(
         names = [r.path for r in batch.collect()]  # at most max_files_per_trigger
         if not names:
             return
-        files = landing_files(spark, names)
-        warn_unreadable(files)
-        records = read_files(spark, files, landing.schema, origin=True)
-        if landing.is_activity:
-            records = flatten_activities(records)
-        # the load reads its batch several times; staged, the JSON is parsed once
-        arrived = stage(records, "micro-batch")
+        landed = land(spark, names, landing.schema, origin=True)
+        warn_unreadable(landed.files)
+        arrived = flatten_activities(landed.records) if landing.is_activity else landed.records
         append_new(keep_first_file(arrived, id_column), table, id_column, path)
-        release(arrived)
+        if landed.parsed is not None:
+            release(landed.parsed)
         # batches run in a session of their own; the caller's must list the new files
         landing.names.sparkSession.catalog.refreshTable(table)
 
