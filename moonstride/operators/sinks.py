@@ -37,12 +37,14 @@ def rebuild_table(
     path: str | None = None,
     partition_by: tuple[str, ...] = (),
     cluster_by: tuple[str, ...] = (),
+    ranges: int | None = None,
 ) -> DataFrame:
     """Replace a table by the query's result and return the table.
 
     With ``cluster_by`` the rows are range-partitioned and sorted by those columns, so that each file
     and row group spans few of their values and the reader passes over the others. Further columns
-    after the first split a value that very many rows share.
+    after the first split a value that very many rows share. ``ranges`` fixes their number; without it
+    adaptive execution merges ranges up to its advisory size, so a small table may be one file.
 
     Rows of one table partition are brought together, so it gets few files; adaptive
     execution splits those that are too large for a task.
@@ -50,7 +52,8 @@ def rebuild_table(
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     elif cluster_by:
-        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+        counted = [ranges] if ranges else []
+        df = df.repartitionByRange(*counted, *cluster_by).sortWithinPartitions(*cluster_by)
     writer = df.write.format("parquet").mode("overwrite")
     if path:
         writer = writer.option("path", path)

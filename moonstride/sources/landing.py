@@ -30,13 +30,15 @@ FILE, WRITTEN = "_landing_file", "_landing_time"
 LONGEST_LINE = 4 << 20
 _PACKED = r"\.(gz|gzip|bz2|zst|lz4|snappy|deflate|xz)$"
 FORMS = ("lines", "indented", "array", "whole")
+_CHUNK_BYTES = "spark.sql.files.maxPartitionBytes"
 
 
 @dataclass(frozen=True)
 class LandingFile:
     """``form``: ``lines`` (a record or an array per line), ``indented`` (an array indented by two
-    blanks), ``array`` (anything else) or ``whole`` (the same, compressed). ``sound``: every part of it is
-    JSON and its end is there."""
+    blanks), ``array`` (anything else, cut over tasks) or ``whole`` (anything else that a task reads alone:
+    compressed, or no larger than what Spark deals to a task). ``sound``: every part of it is JSON and its
+    end is there."""
 
     path: str
     form: str
@@ -51,6 +53,12 @@ def _located(texts: DataFrame) -> DataFrame:
     )
 
 
+def _chunk_bytes(spark: SparkSession) -> int:
+    """Size of the byte ranges that Spark deals to tasks."""
+    number, unit = re.match(r"\s*(\d+)\s*([kmgt]?)", spark.conf.get(_CHUNK_BYTES).lower()).groups()
+    return int(number) << 10 * " kmgt".index(unit or " ")
+
+
 def _forms(spark: SparkSession, paths: list[str]) -> DataFrame:
     """The form of every file that is not blank, from counts of its lines.
 
@@ -85,7 +93,7 @@ def _forms(spark: SparkSession, paths: list[str]) -> DataFrame:
         F.when(seen & (F.col("lines") == 0), None)
         .when(seen & (F.col("lines") == F.col("whole")), "lines")
         .when(seen & indented, "indented")
-        .otherwise(F.when(packed, "whole").otherwise("array"))
+        .otherwise(F.when(packed | (F.col("size") <= _chunk_bytes(spark)), "whole").otherwise("array"))
     )
     return facts.select(FILE, form.alias("form"))
 
@@ -93,7 +101,7 @@ def _forms(spark: SparkSession, paths: list[str]) -> DataFrame:
 def _arrays(spark: SparkSession, paths: list[str], form: str) -> DataFrame:
     """Each part of the files as the text of a JSON array (``value``), with its file; empty text is no part of one.
 
-    All files but compressed ones are split over tasks. A piece of an indented array lacks the brackets that
+    Large files are split over tasks, unless they are compressed. A piece of an indented array lacks the brackets that
     its neighbours hold, and the brace where it was cut.
     """
     if form == "lines":

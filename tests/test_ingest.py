@@ -342,8 +342,8 @@ def test_records_keep_nulls(spark):
 
 def test_a_clustered_table_is_read_by_days(spark, tmp_path, table):
     days = spark.range(3000).select("id", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 300).cast("int")).alias("date_day"))
-    stored = rebuild_table(days.repartition(8), table, str(tmp_path / "t"), cluster_by=("date_day", "id"))
+    stored = rebuild_table(days.repartition(8), table, str(tmp_path / "t"), cluster_by=("date_day", "id"), ranges=6)
     per_file = stored.groupBy(F.col("_metadata.file_path")).agg(F.min("date_day").alias("a"), F.max("date_day").alias("b"))
     spans = sorted((r["a"], r["b"]) for r in per_file.collect())
-    assert len(spans) > 1 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert len(spans) == 6 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
     assert stored.count() == 3000
