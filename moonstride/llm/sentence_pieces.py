@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from struct import pack, unpack
 
@@ -23,8 +23,9 @@ from pyspark.sql import DataFrame
 from moonstride.llm.columns import texts_of
 
 SPACE = "▁"
-# a worker remembers this many runs of text and pairs of pieces; longer runs are encoded anew
-REMEMBERED_RUNS = 300_000
+# a worker remembers this many runs of text twice over (those met since the last change of memories, and those
+# met before it) and this many pairs of pieces; longer runs are encoded anew
+REMEMBERED_RUNS = 350_000
 REMEMBERED_PAIRS = 1_000_000
 LONGEST_REMEMBERED = 64
 # kinds of pieces in a model file (fixed values)
@@ -57,6 +58,23 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
         at += width
 
 
+class _Runs(dict):
+    """What runs of text become, worked out by ``find`` when first met and remembered."""
+
+    def __init__(self, find: Callable[[str], tuple]) -> None:
+        super().__init__()
+        self.find, self.older = find, {}
+
+    def __missing__(self, text: str) -> tuple:
+        found = self.older.get(text) or self.find(text)
+        if len(text) <= LONGEST_REMEMBERED:
+            if len(self) >= REMEMBERED_RUNS:
+                self.older = dict(self)
+                self.clear()
+            self[text] = found
+        return found
+
+
 class PieceModel:
     """A merge-type model with the identity normaliser, read from its file."""
 
@@ -85,25 +103,37 @@ class PieceModel:
         self.silent = {i for i, k in enumerate(kinds) if k == CONTROL}
         self.is_byte = set(self.byte_id.values())
         self._pairs: dict[tuple[str, str], bool] = {}
-        self._runs: dict[str, tuple[str, bytes]] = {}
+        self._runs = _Runs(self._run)
         # what the merges never leave standing is never tried
         self.pieces = {t for t in self.id_of if len(t) == 1 or self.merged(t) == [t]}
         self.matcher = ahocorasick.Automaton()
         for t in self.pieces:
-            self.matcher.add_word(t[::-1], t)
+            self.matcher.add_word(t[::-1], len(t))
         self.matcher.make_automaton()
         self.shorter: dict[str, str | None] = {}
         self.runs = self._run_pattern()
 
     def _run_pattern(self) -> re.Pattern | None:
-        """Cuts text where no piece can reach across; None if pieces go on with a blank."""
+        """Cuts text where no piece can reach across; None if pieces go on with a blank.
+
+        Cut out are blanks with the letters after them, characters that join nothing, and marks that join no letter.
+        """
         joined = {t for t in self.id_of if len(t) > 1}
         if any(SPACE in t.lstrip(SPACE) for t in joined):
             return None
-        letters = {c for t in joined for c in t}
-        lone = "".join(re.escape(c) for c in map(chr, range(128)) if c not in letters)
-        alone = f"|[{lone}]" if lone else ""
-        return re.compile(f"{SPACE}*[^{SPACE}{lone}]+|{SPACE}+{alone}")
+        beside: dict[str, set[str]] = {}
+        for t in joined:
+            for a, b in zip(t, t[1:]):
+                beside.setdefault(a, set()).add(b)
+                beside.setdefault(b, set()).add(a)
+        lone = {c for c in map(chr, range(128)) if c not in beside}
+        marks = {c for c in beside if not c.isalpha()} - {SPACE}
+        while others := {c for c in marks if not beside[c] <= marks | {SPACE}}:
+            marks -= others
+        written = lambda chars: "".join(map(re.escape, sorted(chars)))
+        kinds = [f"{SPACE}*[^{SPACE}{written(lone | marks)}]+"]
+        kinds += [f"{SPACE}*[{written(marks)}]+"] * bool(marks) + [f"{SPACE}+"] + [f"[{written(lone)}]"] * bool(lone)
+        return re.compile("|".join(kinds))
 
     def merged(self, text: str) -> list[str]:
         """The merges applied to single characters: best score first, the leftmost of equals."""
@@ -138,34 +168,39 @@ class PieceModel:
 
     def split(self, text: str) -> list[str]:
         """Pieces of ``text`` (blanks written as ``SPACE``), unknown characters alone."""
-        if text in self.pieces:
-            return [text]
+        if text in self.pieces or not text:
+            return [text] * bool(text)
         n = len(text)
-        longest: list[str] = list(text)
-        for end, piece in self.matcher.iter(text[::-1]):
-            start = n - 1 - end
-            if len(piece) > len(longest[start]):
-                longest[start] = piece
+        longest = [1] * n  # by place from the end
+        for end, size in self.matcher.iter(text[::-1]):
+            if size > longest[end]:
+                longest[end] = size
         failed = bytearray(n // 8 + 1)
         path: list[str] = []
-        at, piece = 0, longest[0] if n else None
-        while at < n:
-            last = path[-1] if path else None
+        pairs, pieces, prefix_of = self._pairs, self.shorter, self._prefix_of
+        at, last, piece = 0, None, text[: longest[n - 1]]
+        while True:
             while piece is not None:
                 end = at + len(piece)
-                if not failed[end >> 3] >> (end & 7) & 1 and (last is None or self.together(last, piece)):
-                    break
-                piece = self._prefix_of(piece)
+                if not failed[end >> 3] >> (end & 7) & 1:
+                    if last is None:
+                        break
+                    good = pairs.get((last, piece))
+                    if good or (good is None and self.together(last, piece)):
+                        break
+                piece = pieces.get(piece) or prefix_of(piece)
             if piece is not None:
                 path.append(piece)
-                at += len(piece)
-                piece = longest[at] if at < n else None
+                if end == n:
+                    return path
+                at, last = end, piece
+                piece = text[at : at + longest[n - 1 - at]]
                 continue
             failed[at >> 3] |= 1 << (at & 7)
             piece = path.pop()
             at -= len(piece)
-            piece = self._prefix_of(piece)
-        return path
+            last = path[-1] if path else None
+            piece = prefix_of(piece)
 
     def _ids(self, text: str) -> list[int]:
         ids = []
@@ -179,27 +214,27 @@ class PieceModel:
                 ids.append(self.unknown)
         return ids
 
-    def _run(self, text: str) -> tuple[str, bytes]:
-        found = self._runs.get(text)
-        if found is None:
-            ids = self._ids(text)
-            found = ",".join(map(str, ids)), pack(f"<{len(ids)}I", *ids)
-            if len(text) <= LONGEST_REMEMBERED:
-                if len(self._runs) >= REMEMBERED_RUNS:
-                    self._runs.clear()
-                self._runs[text] = found
-        return found
+    def _run(self, text: str) -> tuple[str, bytes, str]:
+        ids = self._ids(text)
+        return ",".join(map(str, ids)), pack(f"<{len(ids)}I", *ids), self._spell(ids)
 
-    def encode(self, text: str) -> tuple[str, bytes]:
-        """The ids of ``text``, as decimals joined by commas and as little-endian 32-bit integers."""
+    def encode(self, text: str) -> list[tuple[str, bytes, str]]:
+        """Per run of ``text``: its ids as decimals joined by commas, as little-endian 32-bit integers, and decoded."""
         if not text:
-            return "", b""
+            return []
         text = (self.prefix + text).replace(" ", SPACE)
         if self.runs is None or not self.byte_id:  # unknown runs across a cut count as one
-            return self._run(text)
-        known, run = self._runs, self._run
-        parts = [known.get(r) or run(r) for r in self.runs.findall(text)]
-        return ",".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
+            return [self._run(text)]
+        return list(map(self._runs.__getitem__, self.runs.findall(text)))
+
+    def encode_and_decode(self, text: str) -> tuple[str, bytes, str]:
+        """Ids of ``text`` in both forms, and what they decode to.
+
+        No character is cut by a run, so its ids decode to the same text alone and among others.
+        """
+        runs = self.encode(text)
+        decoded = "".join([r[2] for r in runs])
+        return ",".join([r[0] for r in runs]), b"".join([r[1] for r in runs]), decoded[bool(self.prefix) :]
 
     def decode(self, ids: bytes) -> str:
         """Text of packed ids; the blank put before a text is taken off, stray bytes become U+FFFD."""
@@ -253,8 +288,7 @@ def encode_and_decode(docs: DataFrame, model_path: str, with_ids: bool = False,
         for batch in batches:
             rows: list[list] = [[] for _ in schema]
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                decimals, packed = model.encode(text.as_py() or "")
-                decoded = model.decode(packed)
+                decimals, packed, decoded = model.encode_and_decode(text.as_py() or "")
                 digests = [hashlib.sha256(t.encode()).hexdigest() for t in (decimals, decoded)]
                 row = [doc_id, len(packed) // 4, *digests]
                 row += [np.frombuffer(packed, "<i4").tolist()] * with_ids + [decoded] * with_text
