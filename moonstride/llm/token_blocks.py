@@ -11,12 +11,13 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from struct import pack
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -34,6 +35,10 @@ _DOC = np.dtype([("id", "<i8"), ("null", "u1"), ("n", "<i8")])
 _FOOT = np.dtype([("blocks", "<u8"), ("docs", "<u8"), ("ids", "<u8"), ("magic", "S8")])
 # blocks packed at a time
 _TOGETHER = 256
+# marks that byte-level BPE never joins to a letter before them
+_MARKS = frozenset(".,;:!?")
+# white space before a blank or a line end, and NUL: cut in Python
+_ODD = r"\x00|[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}][ \n]"
 
 
 def pack_blocks(ids: np.ndarray, percentile: float = 0.9) -> list[bytes]:
@@ -117,22 +122,72 @@ class PieceEncoder(dict):
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [pack(f"<{len(e)}I", *e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of each text. Texts with special tokens written out are encoded whole."""
-        whole = [any(s in t for s in self.special) for t in texts]
-        pieces = [[] if w else split_pieces(t) for t, w in zip(texts, whole)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[str]) -> None:
+        """Remember the ids of new pieces. A mark after a letter is a word of its own, so what precedes it may be known."""
+        whole, parted = [], []
+        for piece in new:
+            (parted if piece[-1:] in _MARKS and piece[-2:-1].isalpha() else whole).append(piece)
+        stems = {p[:-1] for p in parted}
+        known = {s: self[s] for s in stems if s in self}
+        ask = list({*whole, *_MARKS} | (stems - known.keys()))
+        found = dict(zip(ask, self._ids(ask))) | known
+        self.update((p, found[p]) for p in whole)
+        self.update((s, found[s]) for s in stems)
+        self.update((p, found[p[:-1]] + found[p[-1]]) for p in parted)
+
+    def ids_of(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces."""
         if len(self) >= self.limit:
             self.older = dict(self)
             self.clear()
-        new = set().union(*pieces) - self.keys()
-        again = new & self.older.keys()
-        self.update((p, self.older[p]) for p in again)
-        new = list(new - again)
-        self.update(zip(new, self._ids(new)))
-        for text, w, of_text in zip(texts, whole, pieces):
-            yield self._ids([text])[0] if w else b"".join(map(self.__getitem__, of_text))
+        new = []
+        for piece in pieces:
+            if piece not in self:
+                found = self.older.get(piece)
+                if found is None:
+                    new.append(piece)
+                else:
+                    self[piece] = found
+        if new:
+            self._learn(new)
+        return [self[piece] for piece in pieces]
+
+    def _one(self, text: str) -> bytes:
+        """A text with special tokens written out, or with white space that Arrow would cut elsewhere."""
+        if any(s in text for s in self.special):
+            return self._ids([text])[0]
+        pieces = split_pieces(text)
+        found = list(dict.fromkeys(pieces))
+        known = dict(zip(found, self.ids_of(found)))
+        return b"".join(map(known.__getitem__, pieces))
+
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """Ids of each text (null: none).
+
+        Arrow cuts the texts and numbers their distinct pieces, only those are looked up, and their ids
+        are gathered by number.
+        """
+        texts = pc.fill_null(texts, "")
+        odd = pc.match_substring_regex(texts, _ODD)
+        for special in self.special:
+            odd = pc.or_(odd, pc.match_substring(texts, special))
+        marked = pc.replace_substring(pc.if_else(odd, "", texts), " ", "\x00 ")
+        pieces = pc.split_pattern(pc.replace_substring(marked, "\n", "\x00\n"), "\x00")
+        numbered = pieces.flatten().dictionary_encode()
+        known = self.ids_of(numbered.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        at = numbered.indices.to_numpy(zero_copy_only=False)
+        counts = sizes[at]
+        ends = np.cumsum(counts)
+        from_place = (np.cumsum(sizes) - sizes)[at] - (ends - counts)
+        ids = np.frombuffer(b"".join(known), "<u4")
+        ids = ids[np.repeat(from_place, counts) + np.arange(len(from_place) and ends[-1])]
+        rows = pieces.offsets.to_numpy()
+        bounds = np.append(0, ends)[rows - rows[0]].tolist()
+        for row, (first, last, alone) in enumerate(zip(bounds, bounds[1:], odd.to_pylist())):
+            yield self._one(texts[row].as_py()) if alone else ids[first:last].tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -194,9 +249,8 @@ def write_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str,
         encoder, end, file, units = piece_encoder(tokenizer_path), np.array([end_id], "<u4").tobytes(), None, []
         part = TaskContext.get().partitionId()
         for whole in batches:
-            for batch in pieces_of(whole, 1 << 20):
-                texts = [t or "" for t in batch.column("text").to_pylist()]
-                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode_all(texts)):
+            for batch in pieces_of(whole, 4 << 20):
+                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode_all(batch.column("text"))):
                     file = file or BlockFile(f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.pfor")
                     if not units or file.ids - units[-1][1] >= unit_ids:
                         units.append((len(file.docs), file.ids))
