@@ -2,7 +2,8 @@
 
 Every rule is evaluated once per text and leaves a bit, next to what was measured. Policies are masks
 over the bits, so a new version of a policy, or the same one without a rule, needs no text at all.
-All of it is DataFrame functions on single rows: no shuffle, no Python.
+The ledger is written once and policies read it: a filter on a verdict reaches the stored bits and never
+the measuring. All of it is DataFrame functions on single rows: no shuffle, no Python.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from moonstride.session import stage
+
 WINDOW = 5
 _GAP = r"[\x20\x09-\x0D]+"
 _SYMBOL = r"[#*$%&|<>]"
@@ -91,7 +94,9 @@ def measure(docs: DataFrame) -> DataFrame:
 
 
 def build_ledger(docs: DataFrame) -> DataFrame:
-    """The measurements of every row, and ``failures``: bit ``rule.bit`` is set where that rule fails.
+    """The stored measurements of every row, and ``failures``: bit ``rule.bit`` is set where that rule fails.
+
+    The ledger is a table in the shared folder (a few numbers per text); ``session.release`` removes it.
 
     Words are parted by blanks and the controls 9 to 13. Null and empty texts have no words and fail
     ``few_words`` alone. Rows never meet: ids are handed on, null or repeated as they are, repeated
@@ -101,7 +106,7 @@ def build_ledger(docs: DataFrame) -> DataFrame:
     failures = bits[0]
     for bit in bits[1:]:
         failures = failures.bitwiseOR(bit)
-    return measure(docs).withColumn("failures", failures)
+    return stage(measure(docs).withColumn("failures", failures), "ledger")
 
 
 def fails(policy: Policy) -> Column:
