@@ -189,20 +189,35 @@ def sums_of(docs: DataFrame, path: str) -> dict[int, np.ndarray]:
 
 
 class Answers:
-    """What a task's blocks were answered."""
+    """What a task's blocks were answered, read block by block in the order in which they were sent."""
 
     def __init__(self, path: str, task: int) -> None:
         store, place = fs.FileSystem.from_uri(path)
         folder = f"{place}/task={task}"
-        self.rows: dict[int, list] = {}
-        if store.get_file_info(folder).type != fs.FileType.NotFound:
-            files = [f.path for f in store.get_file_info(fs.FileSelector(folder)) if f.path.endswith(".parquet")]
-            for file in files:
-                for row in pq.read_table(file, filesystem=store, partitioning=None).to_pylist():
-                    self.rows.setdefault(row["block"], []).append((row["range"], row["n"], row["check"], row["answers"]))
+        found = store.get_file_info(folder).type != fs.FileType.NotFound
+        listed = store.get_file_info(fs.FileSelector(folder)) if found else []
+        self.files = [self._rows(store, f.path) for f in listed if f.path.endswith(".parquet")]
+        self.ahead = [next(rows, None) for rows in self.files]
+
+    @staticmethod
+    def _rows(store: fs.FileSystem, path: str) -> Iterator[tuple]:
+        """(block, range, n, check, answers) of a file, which holds them by block; a few rows are held at a time."""
+        with store.open_input_file(path) as source:
+            file = pq.ParquetFile(source, pre_buffer=False, buffer_size=1 << 20)
+            for batch in file.iter_batches(batch_size=16, columns=["block", "range", "n", "check", "answers"]):
+                yield from zip(*(batch.column(c).to_pylist() for c in ("block", "range", "n", "check", "answers")))
 
     def of(self, block: int) -> BlockAnswers:
-        return BlockAnswers(sorted(self.rows.get(block, [])))
+        """The answers of ``block``; blocks are asked for in ascending order."""
+        mine = []
+        for place, rows in enumerate(self.files):
+            row = self.ahead[place]
+            while row is not None and row[0] <= block:
+                if row[0] == block:
+                    mine.append(row[1:])
+                row = next(rows, None)
+            self.ahead[place] = row
+        return BlockAnswers(sorted(mine))
 
 
 @dataclass

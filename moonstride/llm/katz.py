@@ -90,7 +90,7 @@ class Tokens:
             past[words.bounds[:-1] + np.arange(rows)] = START
             tokens.append(here)
             before.append(past)
-            texts.append(np.repeat(np.arange(rows) + row, np.diff(words.bounds) + 1))
+            texts.append(np.repeat(np.arange(row, row + rows, dtype=np.int32), np.diff(words.bounds) + 1))
             row += rows
         self.tokens, self.before, self.texts, self.rows = np.concatenate(tokens), np.concatenate(before), np.concatenate(texts), row
         self.train = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)[self.texts]
@@ -98,21 +98,22 @@ class Tokens:
     def _asked(self, keys: np.ndarray) -> tuple[Asked, np.ndarray]:
         distinct, place = np.unique(keys, return_inverse=True)
         counts = np.bincount(place, weights=self.train, minlength=len(distinct)).astype(np.int64)
-        return Asked(distinct, counts=counts), place
+        return Asked(distinct, counts=counts), place.astype(np.int32)  # a block has fewer than 2^31 words
 
     def ask_words(self) -> Asked:
         asked, self.word_at = self._asked(self.tokens)
-        self.words = asked.keys
         return asked
 
     def ask_pairs(self) -> Asked:
         asked, self.pair_at = self._asked(mix(self.before * np.uint64(0x9E3779B97F4A7C15) + mix(self.tokens)))
-        self.example = np.zeros(len(asked.keys), np.int64)  # a place where each pair stands
-        self.example[self.pair_at] = np.arange(len(self.tokens))
+        self.example = np.zeros(len(asked.keys), np.int32)  # a place where each pair stands
+        self.example[self.pair_at] = np.arange(len(self.tokens), dtype=np.int32)
+        self.tokens = None  # no longer asked for
         return asked
 
     def learn_words(self, counts: np.ndarray, starts: int) -> None:
         self.count = counts[self.word_at]
+        self.word_at = None  # no longer asked for
         self.before_count = np.empty_like(self.count)
         self.before_count[1:] = self.count[:-1]
         self.before_count[self.before == START] = starts
@@ -122,7 +123,7 @@ class Tokens:
         mine = (pairs & 1).astype(bool) & (pairs > 1)
         known = np.flatnonzero(self.before_count > 0)
         histories, place = np.unique(self.before[known], return_inverse=True)
-        self.history_at = np.full(len(self.tokens), -1, np.int64)
+        self.history_at = np.full(len(self.before), -1, np.int32)
         self.history_at[known] = place
         values = np.zeros(len(histories), _WEIGHT)
         values["seen"][place] = self.before_count[known]
@@ -134,8 +135,8 @@ class Tokens:
     def _sorted(self, histories: np.ndarray, values: np.ndarray) -> Asked:
         keys = mix(histories)
         order = np.argsort(keys)
-        back = np.empty_like(order)
-        back[order] = np.arange(len(order))
+        back = np.empty(len(order), np.int32)
+        back[order] = np.arange(len(order), dtype=np.int32)
         self.history_at = np.where(self.history_at >= 0, back[self.history_at], -1)
         return Asked(keys[order], counts=values[order])
 
