@@ -55,10 +55,10 @@ def fixed_scan(docs: DataFrame) -> DataFrame:
     return stage(docs, "texts") if any(x in plan for x in ("Exchange", "Sort", "Join", "Limit", "Sample", "InMemory")) else docs
 
 
-def ranges_for(docs: DataFrame, keys_per_byte: float) -> int:
-    """Number of key ranges for about so many keys per byte of text."""
+def ranges_for(docs: DataFrame, keys_per_byte: float, keys: int = KEYS_PER_RANGE) -> int:
+    """Number of key ranges, of about ``keys`` each, for so many keys per byte of text."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return max(8, int(size * keys_per_byte) // KEYS_PER_RANGE)
+    return max(8, int(size * keys_per_byte) // keys)
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -75,12 +75,18 @@ def _steps(keys: np.ndarray) -> np.ndarray:
     return np.diff(keys, prepend=np.uint64(0))
 
 
+def give_back() -> None:
+    """Return what Arrow has set aside; a Python worker lives on after its task, beside its executor's heap."""
+    pa.default_memory_pool().release_unused()
+
+
 def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
     n = 0
     for whole in batches:
         for batch in pieces_of(whole, BLOCK_BYTES):
             yield n, batch
             n += 1
+        give_back()
 
 
 def _sender(ask: Ask, ranges: int, earlier: list[str]):
@@ -140,10 +146,12 @@ def _settler(settle: Settle, kind: np.dtype | None, wide: bool):
                 if row["range"] != place and rows:
                     yield from answered(place, rows)
                     rows = []
+                    give_back()
                 place = row["range"]
                 rows.append(row)
         if rows:
             yield from answered(place, rows)
+        give_back()
 
     return run
 

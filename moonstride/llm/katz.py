@@ -25,6 +25,8 @@ from moonstride.llm.word_hashes import mix, words_of
 
 # counts above this are not discounted
 TRUSTED = 5
+# keys of a range, so that whoever adds up their counts holds some tens of MB
+RANGE_KEYS = 1 << 19
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 
 _WEIGHT = np.dtype([("mass", "<f8"), ("low", "<f8"), ("seen", "<i8")])
@@ -182,7 +184,7 @@ def score_texts(docs: DataFrame, learn_from: Column) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), in_training(learn_from))
     base = fixed_scan(rows)
-    few, many = ranges_for(base, 1 / 60), ranges_for(base, 1 / 8)
+    few, many = ranges_for(base, 1 / 60, RANGE_KEYS), ranges_for(base, 1 / 8, RANGE_KEYS)
     whole = np.dtype(np.int64)
 
     words = census(base, lambda batch, _: [Tokens(batch).ask_words()], _settle_words, few, whole)
