@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moonstride.catalog.registry import Tables, query
 from moonstride.operators.load import append_new
-from moonstride.operators.sinks import as_records, create_view, rebuild_table, write_records, write_snapshot
+from moonstride.operators.sinks import as_records, create_view, ensure_schema, rebuild_table, schema_for, write_records, write_snapshot
 from moonstride.operators.summary import count_per
 from moonstride.session import scratch_path
 from moonstride.sources.landing import SECOND_STAMP, read_landing, read_newest, unreadable_files
@@ -217,6 +218,27 @@ def sk_rebuild_table(t: Tables) -> DataFrame:
     return rebuild_table(orders, table, path)
 
 
+@query("""
+    SELECT 'track' AS schema_name, o_orderkey AS id FROM orders UNION ALL SELECT 'body', c_custkey FROM customer
+    UNION ALL SELECT 'seeds', p_partkey FROM part UNION ALL SELECT 'dates', s_suppkey FROM supplier""")
+def sk_schema_routing(t: Tables) -> DataFrame:
+    """Models built in the schemas that their names and folders call for, and read back from there."""
+    models = [
+        ("fct_track_orders", "metrics", t.orders.select(F.col("o_orderkey").alias("id"))),
+        ("fct_customers", "metrics/body", t.customer.select(F.col("c_custkey").alias("id"))),
+        ("parts", "seeds", t.part.select(F.col("p_partkey").alias("id"))),
+        ("dim_date_suppliers", "metrics", t.supplier.select(F.col("s_suppkey").alias("id"))),
+    ]
+    built = []
+    for model, folder, rows in models:
+        schema, name = schema_for(model, folder), _new_name(model)
+        ensure_schema(t.spark, schema)
+        rebuild_table(rows, f"{schema}.{name}", scratch_path(t.spark, model))
+        owner = t.spark.catalog.getTable(f"{schema}.{name}").namespace[-1]
+        built.append(t.spark.table(f"{schema}.{name}").select(F.lit(owner).alias("schema_name"), "id"))
+    return reduce(DataFrame.union, built)
+
+
 @query("SELECT o_orderkey, o_totalprice / 2 AS half_price FROM orders")
 def sk_view(t: Tables) -> DataFrame:
     """A query under a name."""

@@ -69,6 +69,20 @@ def fl_this_period(t: Tables) -> DataFrame:
     return rows.select("event_id", filters.in_this_month("ts", AS_OF).alias("this_month"))
 
 
+@query("""
+    WITH moved AS (SELECT event_id, CAST(current_date - CAST(event_id % 400 AS INTEGER) AS DATE) AS day FROM events)
+    SELECT event_id, day >= current_date - 7 AS last_days, date_trunc('month', day) = date_trunc('month', current_date) AS this_month,
+           year(day) = year(current_date) AS this_year FROM moved""")
+def sf_current_date(t: Tables) -> DataFrame:
+    """Periods that end today, over events moved to the days before today."""
+    day = F.date_sub(F.current_date(), F.pmod(F.col("event_id"), F.lit(400)).cast("int")).alias("day")
+    moved = t.events.select("event_id", day)
+    return moved.select(
+        "event_id", filters.in_last_days("day", 7).alias("last_days"), filters.in_this_month("day").alias("this_month"),
+        filters.in_this_year("day").alias("this_year"),
+    )
+
+
 @query("SELECT c_custkey, c_name FROM customer WHERE lower(trim(' ' || c_mktsegment)) = 'building'")
 def fl_trim_casefold(t: Tables) -> DataFrame:
     padded = F.concat(F.lit(" "), F.col("c_mktsegment"))
