@@ -28,7 +28,14 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 _BYTES = [mix(np.arange(1, 257, dtype=np.uint64) * odd) for odd in _ODD]
-_PLACES = [_powers(odd, 1 << 10) for odd in _ODD]
+
+
+def _places(second: bool, n: int) -> np.ndarray:
+    """A factor per place of a word. They follow no power of a base, whose sums modulo 2^64 some texts defeat."""
+    return mix(np.arange(1, n + 1, dtype=np.uint64) * _ODD[not second] + _U(0x5851F42D4C957F2D)) | _U(1)
+
+
+_PLACES = [_places(second, 1 << 10) for second in (False, True)]
 
 
 @dataclass
@@ -55,10 +62,10 @@ class Words:
         if lower:
             letters = _LOWER[letters]
         longest = int(lengths.max())
-        powers = _PLACES[second]
-        if longest > len(powers):
-            powers = _powers(_ODD[second], longest)
-        values = _BYTES[second][letters] * powers[at - np.repeat(self.starts, lengths)]
+        places = _PLACES[second]
+        if longest > len(places):
+            places = _places(second, longest)
+        values = _BYTES[second][letters] * places[at - np.repeat(self.starts, lengths)]
         return mix(np.add.reduceat(values, first) + lengths.astype(np.uint64) * _U(0xD6E8FEB86659FD93))
 
 
