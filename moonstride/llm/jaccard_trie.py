@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moonstride.llm.census import Answers, Asked, blocks_of, census, fixed_scan, ranges_for
+from moonstride.llm.census import KEYS_PER_RANGE, Answers, Asked, blocks_of, census, fixed_scan, ranges_for
 from moonstride.llm.columns import pieces_of, texts_of, utf8
 from moonstride.llm.components import connected_components
 from moonstride.llm.word_hashes import mix, run_hashes, words_of
@@ -137,6 +137,41 @@ def set_table(docs: DataFrame) -> DataFrame:
     return stage(base.mapInArrow(run, "doc_id long, n long, text binary, digest long, digest_2 long"), "sets")
 
 
+class Classes:
+    """The different sets of a block: a 128-bit key and the first row of each."""
+
+    def __init__(self, batch: pa.RecordBatch) -> None:
+        digest, more, n = (batch.column(c).to_numpy().view(np.uint64) for c in ("digest", "digest_2", "n"))
+        low = more ^ mix(n)
+        order = np.lexsort((low, digest))
+        digest, low = digest[order], low[order]
+        new = np.concatenate([[True], (np.diff(digest) != 0) | (np.diff(low) != 0)])[: len(order)]
+        self.keys, self.low, self.rows = digest[new], low[new], order[new]
+
+    def asked(self) -> Asked:
+        return Asked(self.keys, low=self.low)
+
+
+def _one_sender(counts: np.ndarray, key_of: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, dict]:
+    return first, {}
+
+
+def one_of_each(rows: DataFrame) -> DataFrame:
+    """Staged: ``doc_id``, ``n`` and ``text`` of one row per different set; sets stay where they are, only digests move."""
+    ranges = max(8, rows.count() // KEYS_PER_RANGE)
+    senders = census(rows, lambda batch, _: [Classes(batch).asked()], _one_sender, ranges, wide=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        replies = None
+        for block, batch in blocks_of(batches):
+            replies = replies or Answers(senders, TaskContext.get().partitionId())
+            classes = Classes(batch)
+            kept = replies.of(block).read([classes.asked()], ranges, bool)[0]
+            yield batch.take(pa.array(np.sort(classes.rows[kept]))).select(["doc_id", "n", "text"])
+
+    return stage(rows.mapInArrow(run, "doc_id long, n long, text binary"), "distinct-sets")
+
+
 class Ordered:
     """Sets of a block in global order, with the groups each set goes to."""
 
@@ -335,16 +370,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = table.where("text IS NOT NULL AND doc_id IS NOT NULL")
     classes = rows.groupBy(*key).agg(F.min("doc_id").alias("least"))
     slim = rows.select("doc_id", *key).join(classes, key)
-    of_least = F.expr("struct(digest, digest_2, n, doc_id)")
-    chosen = stage(classes.select(of_least_of("least").alias("_row")), "set-classes")
-    distinct = rows.withColumn("_this", of_least).join(chosen, F.col("_this") == F.col("_row"), "left_semi")
-    distinct = stage(distinct.select("doc_id", "n", "text").dropDuplicates(["doc_id", "n", "text"]), "distinct-sets")
+    distinct = one_of_each(rows)
     links = stage(similar_pairs(distinct), "links")
     copies = slim.where("doc_id <> least").select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
     components = connected_components(links.union(copies))
     found = table.select("doc_id", F.col("n").alias("n_shingles")).join(components, F.col("doc_id") == F.col("node"), "left")
     return found.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-
-
-def of_least_of(column: str):
-    return F.struct(F.col("digest"), F.col("digest_2"), F.col("n"), F.col(column).alias("doc_id"))
