@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moonstride.llm.columns import pieces_of, texts_of
+from moonstride.session import stage
 
 DIMENSIONS = 1 << 16
 UNDETERMINED = "und"
@@ -82,8 +83,28 @@ class LanguageModel:
         return shares / shares.sum(axis=1, keepdims=True)
 
 
+def first_by_hash(ids: DataFrame, count: int) -> DataFrame:
+    """Per ``lang`` the ``count``-th lowest pair of hash and id (the highest one where there are fewer), as ``last``.
+
+    ``ids`` holds ``lang`` and ``at`` (struct of hash and id) and is read three times. A language may hold most
+    rows: rows are first counted by the leading 12, then by the leading 24 bits of the hash, so that only
+    those at or below the wanted place, some ``count`` of them, meet in one task.
+    """
+    near = ids
+    for shift in (52, 40):
+        step = F.shiftright(F.col("at.hash"), shift)
+        counted = near.groupBy("lang", step.alias("step")).agg(F.count(F.lit(1)).alias("n"))
+        so_far = F.sum("n").over(Window.partitionBy("lang").orderBy("step"))
+        reached = counted.withColumn("so_far", so_far).groupBy("lang")
+        limits = reached.agg(F.coalesce(F.min(F.when(F.col("so_far") >= count, F.col("step"))), F.max("step")).alias("limit"))
+        limits = stage(limits, "hash-limits").withColumnRenamed("lang", "_lang")
+        near = near.join(limits, F.col("lang") == F.col("_lang")).where(step <= F.col("limit")).select("lang", "at")
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("at"))
+    return near.withColumn("_nth", nth).where(F.col("_nth") <= count).groupBy("lang").agg(F.max("at").alias("last"))
+
+
 def fit(labelled: DataFrame, per_language: int = 2000, max_languages: int = 500) -> LanguageModel:
-    """Learn from ``doc_id``, ``text``, ``lang``; rows without text or language are left out.
+    """Learn from ``doc_id``, ``text``, ``lang``; rows without id, text or language are left out.
 
     At most ``per_language`` documents of a language are read, those with the lowest hash of their
     id; they are chosen from ids alone, before any text is read. More than ``max_languages``
@@ -92,15 +113,16 @@ def fit(labelled: DataFrame, per_language: int = 2000, max_languages: int = 500)
     """
     known = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     known = known.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.select("doc_id", "lang").withColumn("_nth", F.row_number().over(by_hash)).where(F.col("_nth") <= per_language)
-    ids = chosen.select("doc_id", "lang").distinct()
-    sample = known.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi")  # per_language ids per language
-    languages = sorted(r.lang for r in ids.select("lang").distinct().limit(max_languages + 1).collect())
+    at = F.struct(F.xxhash64("doc_id").alias("hash"), F.col("doc_id").alias("id"))
+    known = known.where(F.col("doc_id").isNotNull()).withColumn("at", at)
+    last = stage(first_by_hash(stage(known.select("lang", "at"), "labelled-ids"), per_language), "last-ids")
+    languages = sorted(r.lang for r in last.select("lang").limit(max_languages + 1).collect())
     if len(languages) > max_languages:
         raise ValueError(f"more than {max_languages} languages")
     if not languages:
         return LanguageModel([], np.zeros((0, 0)), np.zeros((DIMENSIONS, 0), np.float32), np.ones(0), np.ones(0))
+    sample = known.join(last.withColumnRenamed("lang", "_lang"), F.col("lang") == F.col("_lang"))
+    sample = sample.where(F.col("at") <= F.col("last")).select("text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
