@@ -239,6 +239,17 @@ def sk_schema_routing(t: Tables) -> DataFrame:
     return reduce(DataFrame.union, built)
 
 
+@query("""
+    SELECT event_id, event_type, CAST(ts AS DATE) AS day FROM events
+    WHERE event_type = 'click' OR CAST(ts AS DATE) = DATE '2024-01-05'""")
+def sk_interleaved_table(t: Tables) -> DataFrame:
+    """A table laid out by day and type alike, read by either."""
+    rows = t.events.select("event_id", "event_type", F.col("ts").cast("date").alias("day"))
+    stored = rebuild_table(rows, _new_name("events"), scratch_path(t.spark, "events"), ranges=16, interleave_by=("day", "event_type"))
+    clicks, others = stored.where("event_type = 'click'"), stored.where("day = DATE '2024-01-05' AND NOT event_type <=> 'click'")
+    return clicks.union(others)
+
+
 @query("SELECT o_orderkey, o_totalprice / 2 AS half_price FROM orders")
 def sk_view(t: Tables) -> DataFrame:
     """A query under a name."""

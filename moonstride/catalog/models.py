@@ -25,6 +25,7 @@ from moonstride.catalog.standins import (
     workout_records,
 )
 from moonstride.catalog.times import CALENDAR_END
+from moonstride.operators.availability import merged
 from moonstride.operators.summary import count_per, in_spine_order, summary_per_category
 from moonstride.plans import intermediate, marts, staging
 from moonstride.session import stage
@@ -116,6 +117,24 @@ def model_runs_per_day(t: Tables) -> DataFrame:
     return count_per(semantic.where(F.col("activity_name") == "Run"), "date_day")
 
 
+_SEMANTIC_SQL = f"""
+    SELECT k.track_activity_id, k.track_activity_id_of_day, k.date_day, k.name, t.activity_name, t.is_sport_exercise
+    FROM {KEYED_ACTIVITY_SQL} k LEFT JOIN {TYPE_SQL} t ON k.track_activity_type_id = t.track_activity_type_id"""
+
+
+def _semantic(t: Tables) -> DataFrame:
+    activities = _activity_table(t)
+    types = marts.activity_types(activities)
+    fact = marts.fact_activities(marts.keyed_activities(activities, types, marts.gear(activities)))
+    return marts.semantic_activities(fact, types)
+
+
+@query(_SEMANTIC_SQL)
+def model_semantic_activities(t: Tables) -> DataFrame:
+    """The activity fact with names instead of keys, all its rows."""
+    return _semantic(t)
+
+
 @query(f"SELECT * EXCLUDE (source_sleep_id) FROM {NIGHT_SQL} n")
 def model_sleep(t: Tables) -> DataFrame:
     """Sleeps with numbers, nights, hours and moon."""
@@ -188,7 +207,7 @@ def model_workout_activities(t: Tables) -> DataFrame:
     return marts.workout_activities(_workouts(t, numbered=False))
 
 
-@query(f"""
+_DATA_CHECK_SQL = f"""
     SELECT CAST(d AS DATE) AS date_day, strftime(d, '%A') AS day_name,
         strftime(d, '%w') IN ('0', '6') AS is_weekend,
         EXISTS (SELECT 1 FROM {NIGHT_SQL} n WHERE n.date_day = CAST(d AS DATE)) AS is_body_sleeps_data_available,
@@ -197,7 +216,10 @@ def model_workout_activities(t: Tables) -> DataFrame:
         EXISTS (SELECT 1 FROM events e WHERE CAST(e.ts AS DATE) = CAST(d AS DATE))
             AS is_track_activities_data_available
     FROM (SELECT unnest(generate_series((SELECT CAST(min(CAST(ts AS DATE)) AS TIMESTAMP) FROM events),
-                 TIMESTAMP '{CALENDAR_END}' - INTERVAL '1 day', INTERVAL '1 day')) AS d) s""")
+                 TIMESTAMP '{CALENDAR_END}' - INTERVAL '1 day', INTERVAL '1 day')) AS d) s"""
+
+
+@query(_DATA_CHECK_SQL)
 def model_data_check(t: Tables) -> DataFrame:
     """Which data exists for each day of the calendar."""
     activities = _activities(t, numbered=False)
@@ -205,6 +227,18 @@ def model_data_check(t: Tables) -> DataFrame:
     return marts.data_check(dates, _nights(t), _workouts(t, numbered=False), activities)
 
 
+@query(_DATA_CHECK_SQL)
+def model_data_check_stored(t: Tables) -> DataFrame:
+    """The same from stored bitmaps: those of a first load, then those of late rows, some of them loaded twice."""
+    nights, workouts, activities = _nights(t), _workouts(t, numbered=False), _activities(t, numbered=False)
+    late = F.dayofmonth("date_day") % 3 == 0
+    early = [rows.where(~late) for rows in (nights, workouts, activities)]
+    stored = stage(marts.day_bitmaps_of(*early), "bitmaps")
+    for rows in ({"sleeps": nights.where(late)}, {"workouts": workouts, "activities": activities.where(late)}):
+        stored = stage(merged(stored, marts.day_bitmaps_of(**rows)), "bitmaps")
+    return marts.data_check_from_bitmaps(marts.dim_dates(activities, CALENDAR_END), stored)
+
+
 @query(f"""
     SELECT c.event_id AS cycle_id, c.ts AS cycle_start_time,
         CASE WHEN c.event_id % 9 <> 0 THEN c.ts + INTERVAL '1 day' END AS cycle_end_time,

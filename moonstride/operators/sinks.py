@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from moonstride.operators.layout import interleave
+
 
 def schema_for(
     model: str,
@@ -38,6 +40,7 @@ def rebuild_table(
     partition_by: tuple[str, ...] = (),
     cluster_by: tuple[str, ...] = (),
     ranges: int | None = None,
+    interleave_by: tuple[str, ...] = (),
 ) -> DataFrame:
     """Replace a table by the query's result and return the table.
 
@@ -45,6 +48,8 @@ def rebuild_table(
     and row group spans few of their values and the reader passes over the others. Further columns
     after the first split a value that very many rows share. ``ranges`` fixes their number; without it
     adaptive execution merges ranges up to its advisory size, so a small table may be one file.
+    ``interleave_by`` clusters by several columns alike: a filter on any of them passes over most files. Its
+    cuts need one more reading of ``df``, so give it a written table.
 
     Rows of one table partition are brought together, so it gets few files; adaptive
     execution splits those that are too large for a task.
@@ -54,6 +59,8 @@ def rebuild_table(
     elif cluster_by:
         counted = [ranges] if ranges else []
         df = df.repartitionByRange(*counted, *cluster_by).sortWithinPartitions(*cluster_by)
+    elif interleave_by:
+        df = interleave(df, interleave_by, ranges)
     writer = df.write.format("parquet").mode("overwrite")
     if path:
         writer = writer.option("path", path)

@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 
+from moonstride.operators.availability import availability_flags, day_bitmaps, merged
 from moonstride.operators.calendar import calendar_from
 from moonstride.operators.filters import all_present
 from moonstride.operators.lookups import existence_flags, foreign_key
@@ -118,3 +119,19 @@ def data_check(
         f"is_{names.track}_activities_data_available": (activities, "date_day"),
     }
     return existence_flags(dates.select("date_day", "day_name", "is_weekend"), "date_day", sources)
+
+
+def day_bitmaps_of(
+    sleeps: DataFrame | None = None, workouts: DataFrame | None = None, activities: DataFrame | None = None,
+    names: Names = DEFAULT_NAMES,
+) -> DataFrame:
+    """The days of the rows given as bitmaps per source; add those of a load to the stored ones with ``merged``."""
+    given = {f"{names.body}_sleeps": sleeps, f"{names.body}_workouts": workouts, f"{names.track}_activities": activities}
+    return merged(*(day_bitmaps(rows, source) for source, rows in given.items() if rows is not None))
+
+
+def data_check_from_bitmaps(dates: DataFrame, bitmaps: DataFrame, names: Names = DEFAULT_NAMES) -> DataFrame:
+    """``data_check`` read off stored bitmaps; the sources are not looked at."""
+    sources = (f"{names.body}_sleeps", f"{names.body}_workouts", f"{names.track}_activities")
+    flags = {f"is_{source}_data_available": source for source in sources}
+    return availability_flags(dates.select("date_day", "day_name", "is_weekend"), bitmaps, flags)
