@@ -7,11 +7,14 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from moonstride.catalog import models
 from moonstride.catalog.registry import Tables, query
+from moonstride.catalog.standins import MOON_SQL, NIGHT_SQL, STAGED_SLEEP_SQL, WORKOUT_SQL
 from moonstride.catalog.times import CALENDAR_END
 from moonstride.operators import quality
 from moonstride.operators.calendar import calendar_from
 from moonstride.operators.quality import Check
+from moonstride.plans.checks import declared_checks, run_checks
 
 _PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM")
 
@@ -100,3 +103,48 @@ def dq_suite(t: Tables) -> DataFrame:
     on_orders = [Check("unique", "o_orderkey"), Check("at_least", "o_totalprice", 1000)]
     events = quality.run_suite(t.events.withColumn("gear", gear), "events", on_events)
     return events.union(quality.run_suite(t.orders, "orders", on_orders))
+
+
+# the models that are checked as built, with the SQL that gives their rows
+_BUILT_SQL = {
+    "stg_body_sleep": f"SELECT * FROM {STAGED_SLEEP_SQL} s",
+    "stg_body_workouts": models.STAGED_WORKOUT_SQL,
+    "int_body_sleep": f"SELECT * FROM {NIGHT_SQL} n",
+    "int_body_workouts": f"SELECT * FROM {WORKOUT_SQL} w",
+    "fct_activities": models.SEMANTIC_SQL,
+}
+
+
+def _violations_sql(model: str, check: Check) -> str:
+    column, argument = check.column, check.argument
+    if check.kind == "unique":
+        repeated = f"SELECT {column} FROM {model} WHERE {column} IS NOT NULL GROUP BY 1 HAVING count(*) > 1"
+        return f"(SELECT count(*) FROM ({repeated}) r)"
+    if check.kind == "relationships":
+        parents = f"SELECT CAST({argument} AS DATE) FROM {MOON_SQL} m"
+        return f"(SELECT count(*) FROM {model} WHERE {column} IS NOT NULL AND {column} NOT IN ({parents}))"
+    accepted = ", ".join(str(v) if isinstance(v, bool) else f"'{v}'" for v in argument) if check.kind == "accepted_values" else ""
+    broken = {
+        "not_null": f"{column} IS NULL", "at_least": f"{column} < {argument}", "at_most": f"{column} > {argument}",
+        "accepted_values": f"{column} NOT IN ({accepted})",
+    }[check.kind]
+    return f"(SELECT count(*) FROM {model} WHERE {broken})"
+
+
+def _built_checks_sql() -> str:
+    declared = declared_checks()
+    rows = [
+        f"SELECT '{model}' AS table_name, '{c.column}' AS column_name, '{c.kind}' AS check_name, "
+        f"'{c.severity}' AS severity, {_violations_sql(model, c)} AS violations"
+        for model in _BUILT_SQL
+        for c in declared[model]
+    ]
+    tables = ", ".join(f"{model} AS MATERIALIZED ({sql})" for model, sql in _BUILT_SQL.items())
+    return f"WITH {tables} " + " UNION ALL ".join(rows)
+
+
+@query(_built_checks_sql())
+def dq_built_models(t: Tables) -> DataFrame:
+    """All checks declared for the models, over the models as built from the tables."""
+    built = models.built_for_checks(t)
+    return run_checks({"stg_seeds_moon_data": models.moon_days(t), **built})

@@ -68,6 +68,33 @@ def model_staged_sleep(t: Tables) -> DataFrame:
     return staging.stage_sleeps(sleep_records(t.events))
 
 
+STAGED_WORKOUT_SQL = """
+    SELECT CAST(event_id AS VARCHAR) AS workout_id, ts AS workout_start_time,
+        ts + to_microseconds(CAST(round(value * 60000000) AS BIGINT)) AS workout_end_time,
+        event_type AS source_activity_name, CASE WHEN scored THEN value / 9 END AS activity_strain,
+        CASE WHEN scored THEN CAST(user_id % 60 + 90.5 AS DOUBLE)::INTEGER END AS average_heart_rate,
+        CASE WHEN scored THEN CAST(user_id % 60 + 120.5 AS DOUBLE)::INTEGER END AS max_heart_rate,
+        CASE WHEN scored THEN value * 13 END AS kilojoule,
+        CASE WHEN scored THEN CAST(event_id % 101 AS DOUBLE) END AS percent_recorded,
+        CASE WHEN scored AND event_id % 6 <> 0 THEN value * 70 END AS distance_meter,
+        CASE WHEN scored THEN value / 2 END AS altitude_gain_meter,
+        CASE WHEN scored THEN -value / 2 END AS altitude_change_meter,
+        CASE WHEN scored THEN CAST(user_id * 100 AS BIGINT) END AS zone_zero_milli,
+        CASE WHEN scored THEN CAST(user_id * 200 AS BIGINT) END AS zone_one_milli,
+        CASE WHEN scored THEN CAST(user_id * 300 AS BIGINT) END AS zone_two_milli,
+        CASE WHEN scored THEN CAST(user_id * 400 AS BIGINT) END AS zone_three_milli,
+        CASE WHEN scored THEN CAST(user_id * 500 AS BIGINT) END AS zone_four_milli,
+        CASE WHEN scored THEN CAST(user_id * 600 AS BIGINT) END AS zone_five_milli,
+        CAST(user_id % 9 AS INTEGER) AS sport_id
+    FROM (SELECT *, event_id % 17 <> 0 AS scored FROM events) e"""
+
+
+@query(STAGED_WORKOUT_SQL)
+def model_staged_workouts(t: Tables) -> DataFrame:
+    """Workouts after staging, with all columns."""
+    return staging.stage_workouts(workout_records(t.events))
+
+
 @query(f"SELECT * FROM {ACTIVITY_SQL} a")
 def model_activities(t: Tables) -> DataFrame:
     """Activities before they are split into facts and dimensions."""
@@ -117,7 +144,7 @@ def model_runs_per_day(t: Tables) -> DataFrame:
     return count_per(semantic.where(F.col("activity_name") == "Run"), "date_day")
 
 
-_SEMANTIC_SQL = f"""
+SEMANTIC_SQL = f"""
     SELECT k.track_activity_id, k.track_activity_id_of_day, k.date_day, k.name, t.activity_name, t.is_sport_exercise
     FROM {KEYED_ACTIVITY_SQL} k LEFT JOIN {TYPE_SQL} t ON k.track_activity_type_id = t.track_activity_type_id"""
 
@@ -129,7 +156,7 @@ def _semantic(t: Tables) -> DataFrame:
     return marts.semantic_activities(fact, types)
 
 
-@query(_SEMANTIC_SQL)
+@query(SEMANTIC_SQL)
 def model_semantic_activities(t: Tables) -> DataFrame:
     """The activity fact with names instead of keys, all its rows."""
     return _semantic(t)
@@ -262,3 +289,18 @@ def model_cycles(t: Tables) -> DataFrame:
         cycles, recoveries, intermediate.numbered_sleeps(staging.stage_sleeps(sleep_records(t.events)))
     )
     return joined.withColumn("energy_burned", F.round("energy_burned", 6))
+
+
+def moon_days(t: Tables) -> DataFrame:
+    return staging.moon_calendar_columns(moon_seed(t.spark))
+
+
+def built_for_checks(t: Tables) -> dict[str, DataFrame]:
+    """Models by name, written so that all checks of one read the same rows."""
+    return {
+        "stg_body_sleep": stage(staging.stage_sleeps(sleep_records(t.events)), "checked"),
+        "stg_body_workouts": stage(staging.stage_workouts(workout_records(t.events)), "checked"),
+        "int_body_sleep": stage(_sleeps(t).drop("source_sleep_id"), "checked"),
+        "int_body_workouts": stage(_workouts(t), "checked"),
+        "fct_activities": stage(_semantic(t), "checked"),
+    }

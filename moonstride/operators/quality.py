@@ -18,13 +18,16 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Check:
-    """One declared check. ``argument`` is a bound, the accepted values, or a parent column."""
+    """One declared check. ``argument`` is a bound, the accepted values, or a parent column.
+
+    ``parent`` may be a name until the check is run.
+    """
 
     kind: str
     column: str
     argument: Any = None
     severity: str = "error"
-    parent: DataFrame | None = field(default=None, compare=False)
+    parent: DataFrame | str | None = field(default=None, compare=False)
 
     def warn_only(self) -> Check:
         return replace(self, severity="warn")

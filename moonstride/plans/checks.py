@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterable
+from dataclasses import replace
 from datetime import date
 from functools import reduce
 
@@ -35,106 +36,85 @@ CYCLE_MEASURES = (
 )
 
 
-def _each(kind: str, columns: list[str], argument=None) -> list[Check]:
+def _each(kind: str, columns: Iterable[str], argument=None) -> list[Check]:
     return [Check(kind, column, argument) for column in columns]
 
 
 def _present(*columns: str) -> list[Check]:
-    return _each("not_null", list(columns))
+    return _each("not_null", columns)
 
 
 def _key(column: str) -> list[Check]:
     return [Check("not_null", column), Check("unique", column)]
 
 
-def _containing(df: DataFrame, *parts: str) -> list[str]:
-    return [c for c in df.columns if any(part in c for part in parts)]
+# Measures of the other models that are not negative, or not missing.
+SLEEP_MEASURES = (
+    "asleep_duration", "in_bed_duration", "light_sleep_duration", "deep_sleep_duration", "rem_duration",
+    "awake_duration", "sleep_need", "sleep_debt", "sleep_performance", "respiratory_rate",
+    "sleep_efficiency", "sleep_consistency",
+)
+WORKOUT_MEASURES = (
+    "activity_strain", "average_heart_rate", "max_heart_rate", "kilojoule", "percent_recorded",
+    "zone_zero_milli", "zone_one_milli", "zone_two_milli", "zone_three_milli", "zone_four_milli",
+    "zone_five_milli",
+)
+ACTIVITY_MEASURES = (
+    "distance_meters", "distance_kilometers", "moving_time_seconds", "moving_time_minutes",
+    "moving_time_hours", "elapsed_time_seconds", "elapsed_time_minutes", "elapsed_time_hours",
+    "total_elevation_gain_meters", "average_speed_meters_per_second",
+    "average_speed_kilometers_per_hour", "max_speed_meters_per_second", "max_speed_kilometers_per_hour",
+)
 
 
-def checks_for(models: dict[str, DataFrame], names: Names = DEFAULT_NAMES) -> dict[str, list[Check]]:
-    """Checks per model name, for the models of a build."""
+def declared_checks(names: Names = DEFAULT_NAMES) -> dict[str, list[Check]]:
+    """Every check by model and column. A parent is given by the name of its model."""
     track, body = names.track, names.body
-    moon = models["stg_seeds_moon_data"]
-
-    def activities_number(*extra: str) -> list[Check]:
-        number = f"{track}_activity_id"
-        return _key(number) + _present(f"{number}_of_day", "date_day", *extra)
-
-    def staged_activity(df: DataFrame) -> list[Check]:
-        present = ("name", "type", "sport_type", "start_date", "start_date_local", "timezone", "extracted_at")
-        return _key("activity_id") + _present(*present) + [Check("accepted_values", "type", ACTIVITY_TYPES)]
-
-    def staged_sleep(df: DataFrame) -> list[Check]:
-        measures = _containing(df, "_duration", "sleep_need", "sleep_debt", "performance", "respiratory",
-                               "efficiency", "consistency")
-        return (
-            _key("sleep_id")
-            + _present("sleep_onset", "wake_onset", "sleep_performance", "respiratory_rate")
-            + _each("at_least", measures, 0)
-            + [Check("accepted_values", "nap", (True, False))]
+    activity, workout = f"{track}_activity_id", f"{body}_workout_id"
+    numbered = _key(activity) + _present(f"{activity}_of_day", "date_day")
+    return {
+        "stg_seeds_activity_mapping": _key("original_activity_name")
+        + _present("aligned_activity_name", "is_sport_exercise"),
+        f"stg_{track}_activities": _key("activity_id")
+        + _present("name", "type", "sport_type", "start_date", "start_date_local", "timezone", "extracted_at")
+        + [Check("accepted_values", "type", ACTIVITY_TYPES)],
+        f"stg_{body}_sleep": _key("sleep_id")
+        + _present("sleep_onset", "wake_onset", "sleep_performance", "respiratory_rate")
+        + _each("at_least", SLEEP_MEASURES, 0)
+        + [Check("accepted_values", "nap", (True, False))],
+        f"stg_{body}_workouts": _key("workout_id")
+        + _present("workout_start_time", "workout_end_time", "source_activity_name")
+        + _each("at_least", WORKOUT_MEASURES, 0)
+        + [Check("at_most", "percent_recorded", 100), Check("accepted_values", "source_activity_name", WORKOUT_NAMES)],
+        f"int_{track}_activities": _key(f"{activity}_internal")
+        + numbered
+        + _present("start_date", "start_date_local", "extracted_at", *ACTIVITY_MEASURES),
+        f"int_{body}_sleep": _key("sleep_id")
+        + _present("sleep_id_of_day", "date_day", "sleep_start_date", "wake_up_date")
+        + [Check("relationships", "date_day", "date_day", parent="stg_seeds_moon_data")],
+        f"int_{body}_workouts": _key(workout)
+        + _present(f"{workout}_of_day", "date_day", "workout_start_time", "workout_end_time")
+        + [Check("at_least", "duration_minutes", 0)],
+        f"stg_{body}_cycles": _key("cycle_id"),
+        f"stg_{body}_recoveries": _key("cycle_id"),
+        f"fct_{body}_physiological_cycles": _present(
+            "cycle_start_time", "cycle_end_time", "cycle_timezone", "sleep_onset", "wake_onset",
+            "sleep_performance", "respiratory_rate",
         )
+        + _each("at_least", CYCLE_MEASURES, 0)
+        + [Check("unique", "sleep_id"), Check("relationships", "sleep_id", "sleep_id", parent=f"int_{body}_sleep")],
+        "fct_activities": numbered + _present("activity_name"),
+        "dim_dates": _key("date_day"),
+    }
 
-    def staged_workout(df: DataFrame) -> list[Check]:
-        measures = _containing(df, "strain", "heart_rate", "kilojoule", "percent", "zone_")
-        return (
-            _key("workout_id")
-            + _present("workout_start_time", "workout_end_time", "source_activity_name")
-            + _each("at_least", measures, 0)
-            + [
-                Check("at_most", "percent_recorded", 100),
-                Check("accepted_values", "source_activity_name", WORKOUT_NAMES),
-            ]
-        )
 
-    def built_activity(df: DataFrame) -> list[Check]:
-        measures = _containing(df, "_meters", "_kilometers", "_seconds", "_minutes", "_hours")
-        return (
-            _key(f"{track}_activity_id_internal")
-            + activities_number("start_date", "start_date_local", "extracted_at")
-            + _present(*measures)
-        )
+def checks_for(models: dict[str, DataFrame], names: Names = DEFAULT_NAMES) -> dict[str, list[Check]]:
+    """The declared checks of the models given, parents included; a column that a model lacks is an error."""
 
-    def built_sleep(df: DataFrame) -> list[Check]:
-        return (
-            _key("sleep_id")
-            + _present("sleep_id_of_day", "date_day", "sleep_start_date", "wake_up_date")
-            + [Check("relationships", "date_day", "date_day", parent=moon)]
-        )
+    def resolved(check: Check) -> Check:
+        return replace(check, parent=models[check.parent]) if isinstance(check.parent, str) else check
 
-    def built_workout(df: DataFrame) -> list[Check]:
-        number = f"{body}_workout_id"
-        present = (f"{number}_of_day", "date_day", "workout_start_time", "workout_end_time")
-        return _key(number) + _present(*present) + [Check("at_least", "duration_minutes", 0)]
-
-    def cycles(df: DataFrame) -> list[Check]:
-        slept = models[f"int_{body}_sleep"]
-        return (
-            _present(
-                "cycle_start_time", "cycle_end_time", "cycle_timezone", "sleep_onset", "wake_onset",
-                "sleep_performance", "respiratory_rate",
-            )
-            + _each("at_least", [c for c in CYCLE_MEASURES if c in df.columns], 0)
-            + [Check("unique", "sleep_id"), Check("relationships", "sleep_id", "sleep_id", parent=slept)]
-        )
-
-    def mapping(df: DataFrame) -> list[Check]:
-        return _key("original_activity_name") + _present("aligned_activity_name", "is_sport_exercise")
-
-    declared: dict[str, Callable[[DataFrame], list[Check]]] = {
-        "stg_seeds_activity_mapping": mapping,
-        f"stg_{track}_activities": staged_activity,
-        f"stg_{body}_sleep": staged_sleep,
-        f"stg_{body}_workouts": staged_workout,
-        f"int_{track}_activities": built_activity,
-        f"int_{body}_sleep": built_sleep,
-        f"int_{body}_workouts": built_workout,
-        f"stg_{body}_cycles": lambda df: _key("cycle_id"),
-        f"stg_{body}_recoveries": lambda df: _key("cycle_id"),
-        f"fct_{body}_physiological_cycles": cycles,
-        "fct_activities": lambda df: activities_number("activity_name"),
-        "dim_dates": lambda df: _key("date_day"),
-    }
-    return {model: rule(models[model]) for model, rule in declared.items() if model in models}
+    return {model: [resolved(c) for c in checks] for model, checks in declared_checks(names).items() if model in models}
 
 
 def run_checks(
