@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from moonstride.catalog.registry import Tables, query
 from moonstride.functions.text import MONTH_SPELLINGS
 from moonstride.operators import questions as q
+from moonstride.operators.counts import day_counts, refreshed_counts
 from moonstride.session import stage
 
 AS_OF = date(2001, 7, 15)
@@ -204,6 +205,31 @@ def qn_per_day(t: Tables) -> DataFrame:
     return _ask(t, order_activities(t.orders), "How many sport sessions per day in March?", "activity_id", AS_OF)
 
 
+def _stored_counts(t: Tables) -> DataFrame:
+    """Counts of the orders, the later half of every month loaded afterwards."""
+    fact = order_activities(t.orders)
+    late = fact.where(F.dayofmonth("date_day") > 15)
+    stored = stage(day_counts(fact.where(F.dayofmonth("date_day") <= 15)), "day-counts")
+    return stage(refreshed_counts(stored, fact, late.select("date_day")), "day-counts")
+
+
+@query(f"""
+    SELECT date_day, count(*) AS activity_count FROM {_ORDER_ACTIVITY_SQL} a
+    WHERE is_sport_exercise AND extract(month FROM date_day) = 3 GROUP BY 1 ORDER BY 1""")
+def qn_per_day_stored(t: Tables) -> DataFrame:
+    """The same from stored counts that took in late rows."""
+    reading = q.read_question(t.spark, "How many sport sessions per day in March?", AS_OF)
+    return q.answer_from_counts(_stored_counts(t), reading)
+
+
+@query(f"""
+    SELECT count(*) AS count FROM {_ORDER_ACTIVITY_SQL} a
+    WHERE activity_name = 'Run' AND date_day >= DATE '1998-12-01' AND date_day < DATE '1999-01-01'""")
+def qn_count_month_stored(t: Tables) -> DataFrame:
+    """The same from stored counts that took in late rows."""
+    return q.answer_from_counts(_stored_counts(t), q.read_question(t.spark, "How many runs in December 1998?", AS_OF))
+
+
 @query(f"""
     SELECT * FROM {_ORDER_ACTIVITY_SQL} a
     WHERE activity_name = 'Cycling' AND date_day >= DATE '{AS_OF}' - 400

@@ -37,9 +37,9 @@ def strip_code_fence(text: Column) -> Column:
     """Drop fence markers at line starts, outer blanks and outer quotes."""
     bare = F.regexp_replace(text, r"(?md)^```sql\s*", "")
     bare = F.regexp_replace(bare, r"(?md)^```\s*", "")
-    bare = F.regexp_replace(bare, r"(?d)^\s+|\s+$", "")
-    bare = F.regexp_replace(bare, r'(?d)^"+|"+$', "")
-    return F.regexp_replace(bare, r"(?d)^'+|'+$", "")
+    for outer in (" \t\n\x0b\f\r", '"', "'"):
+        bare = F.btrim(bare, F.lit(outer))
+    return bare
 
 
 def strip_inline_markup(text: Column) -> Column:

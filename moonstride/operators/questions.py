@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from moonstride.functions.text import month_number
 from moonstride.operators import filters
+from moonstride.operators.counts import day_counts
 from moonstride.operators.summary import count_per, count_where, latest
 from moonstride.session import stage
 
@@ -215,9 +216,7 @@ def read_question(
     )
 
 
-def answer(fact: DataFrame, reading: Reading, tie_breaker: str, day: str = "date_day") -> DataFrame:
-    """The rows or counts of ``fact`` that a reading asks for."""
-    rows = fact
+def _asked_for(rows: DataFrame, reading: Reading, day: str) -> DataFrame:
     if reading.start is not None:
         rows = rows.where(F.col(day) >= F.lit(reading.start))
     if reading.end is not None:
@@ -228,6 +227,12 @@ def answer(fact: DataFrame, reading: Reading, tie_breaker: str, day: str = "date
         rows = rows.where(F.col("activity_name") == reading.activity_name)
     if reading.is_sport_exercise is not None:
         rows = rows.where(F.col("is_sport_exercise") == F.lit(reading.is_sport_exercise))
+    return rows
+
+
+def answer(fact: DataFrame, reading: Reading, tie_breaker: str, day: str = "date_day") -> DataFrame:
+    """The rows or counts of ``fact`` that a reading asks for."""
+    rows = _asked_for(fact, reading, day)
     if reading.intent == "count":
         return count_where(rows)
     if reading.intent == "count_per_day":
@@ -235,6 +240,16 @@ def answer(fact: DataFrame, reading: Reading, tie_breaker: str, day: str = "date
     return latest(rows, day, tie_breaker, LIST_ROWS if reading.intent == "list" else DEFAULT_ROWS)
 
 
+def answer_from_counts(counts: DataFrame, reading: Reading) -> DataFrame:
+    """What ``answer`` says to a counting question, from the table of ``counts.day_counts``; no fact row is read."""
+    rows, number = _asked_for(counts, reading, "date_day"), F.sum("n")
+    if reading.intent == "count":
+        return rows.agg(F.coalesce(number, F.lit(0)).alias("count"))
+    if reading.intent == "count_per_day":
+        return rows.groupBy("date_day").agg(number.alias("activity_count")).orderBy(F.asc_nulls_last("date_day"))
+    raise ValueError(f"counts cannot answer a question for rows ({reading.intent})")
+
+
 def _filter_keys() -> Column:
     """The filters a fact row passes: everything, its name, and the sport flag if set."""
     keys = F.array(
@@ -254,7 +269,13 @@ def count_answers(
     date range into the difference of two totals, found by equality joins; questions and
     facts never meet row by row. The totals have a row per day and filter name.
     """
-    per_day = fact.groupBy("date_day", "activity_name", "is_sport_exercise").agg(F.count(F.lit(1)).alias("n"))
+    return count_answers_from(questions, day_counts(fact), text, as_of)
+
+
+def count_answers_from(
+    questions: DataFrame, per_day: DataFrame, text: str = "question", as_of: Column | None = None
+) -> DataFrame:
+    """``count_answers`` from a stored table of ``counts.day_counts``."""
     daily = stage(
         per_day.select("date_day", "n", F.explode(_filter_keys()).alias("filter_key"))
         .groupBy("filter_key", "date_day")
