@@ -6,7 +6,7 @@ import uuid
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moonstride.catalog.registry import Tables, query
@@ -49,25 +49,43 @@ def sc_json_landing(t: Tables) -> DataFrame:
     return _typed(read_landing(t.spark, path, _EVENT_RECORD))
 
 
-def _arrays(t: Tables, indent: str) -> DataFrame:
-    """The events as JSON arrays of up to 500 elements over several lines, each the text of a file."""
-    record = F.to_json(F.struct(*_as_text_time(t.events).columns), {"pretty": "true"})
+# Elements of an array, at least and at most; the least holds while there are few files
+LEAST_ELEMENTS, MOST_ELEMENTS, FEW_FILES = 500, 20_000, 256
+
+
+def _elements(events: DataFrame, least: int = LEAST_ELEMENTS) -> tuple[int, int]:
+    """How many elements an array gets on average, more of them in larger tables, and the number of arrays."""
+    rows = events.count()
+    size = min(max(least, rows // FEW_FILES), MOST_ELEMENTS)
+    return size, max(1, -(-rows // size))
+
+
+def _dealt(events: DataFrame, arrays: int) -> Column:
+    """The array that a row goes to, whatever its ids look like."""
+    return F.pmod(F.xxhash64(*events.columns), F.lit(arrays))
+
+
+def _arrays(events: DataFrame, indent: str, file: Column) -> DataFrame:
+    """The events as JSON arrays over several lines, one per value of ``file``, each the text of a file."""
+    record = F.to_json(F.struct(*events.columns), {"pretty": "true"})
     element = F.concat(F.lit(indent), F.regexp_replace(record, "\n", "\n" + indent))
-    groups = _as_text_time(t.events).groupBy((F.col("event_id") / 500).cast("long").alias("file"))
     text = F.concat(F.lit("[\n"), F.array_join(F.collect_list(element), ",\n"), F.lit("\n]"))
-    return groups.agg(text.alias("value"))
+    return events.groupBy(file.alias("file")).agg(text.alias("value"))
 
 
 def _write_files(arrays: DataFrame, path: str) -> None:
-    """One file per row."""
-    arrays.write.mode("append").partitionBy("file").text(path)
+    """One file per row, in few folders."""
+    folder = F.coalesce(F.pmod("file", F.lit(16)), F.lit(0)).alias("folder")
+    files = arrays.select("value", folder)
+    files.write.mode("append").option("maxRecordsPerFile", 1).partitionBy("folder").text(path)
 
 
 @query(_EVENTS)
 def sc_indented_landing(t: Tables) -> DataFrame:
     """Arrays indented by two blanks with their brackets, read back in pieces."""
     path = scratch_path(t.spark, "indented")
-    _write_files(_arrays(t, "  "), path)
+    events = _as_text_time(t.events)
+    _write_files(_arrays(events, "  ", _dealt(events, _elements(events)[1])), path)
     return _typed(read_landing(t.spark, path, _EVENT_RECORD))
 
 
@@ -75,9 +93,11 @@ def sc_indented_landing(t: Tables) -> DataFrame:
 def sc_json_array(t: Tables) -> DataFrame:
     """Arrays indented in another way; files that are cut off or damaged beside them add nothing."""
     path = scratch_path(t.spark, "arrays")
-    arrays = _arrays(t, " ")
+    events = _as_text_time(t.events)
+    file = _dealt(events, _elements(events)[1])
+    arrays = _arrays(events, " ", file)
     _write_files(arrays, path)
-    _write_files(_arrays(t, "  ").withColumn("value", F.expr("substring(value, 1, length(value) - 10)")), path)
+    _write_files(_arrays(events, "  ", file).withColumn("value", F.expr("substring(value, 1, length(value) - 10)")), path)
     _write_files(arrays.withColumn("value", F.expr("replace(value, '\"value\" :', '\"value\" ')")), path)
     return _typed(read_landing(t.spark, path, _EVENT_RECORD))
 
@@ -104,8 +124,9 @@ def sc_split_array(t: Tables) -> DataFrame:
 def sc_unreadable_files(t: Tables) -> DataFrame:
     """Of whole and cut files, the cut ones are named; each lacks the records of its array."""
     path = scratch_path(t.spark, "cut")
-    arrays = _arrays(t, "  ")
-    _write_files(arrays, path)
+    events = _as_text_time(t.events)
+    _write_files(_arrays(events, "  ", _dealt(events, _elements(events)[1])), path)
+    arrays = _arrays(events, "  ", (F.col("event_id") / 500).cast("long"))
     cut = arrays.select("file", F.concat(F.lit("// "), F.col("file").cast("string"), F.lit("\n"), "value").alias("value"))
     _write_files(cut, path)
     bad = unreadable_files(t.spark, path)
