@@ -107,12 +107,13 @@ def sc_split_array(t: Tables) -> DataFrame:
     """Arrays on one line each, larger than what a task is dealt, cut over tasks; a damaged one adds nothing."""
     path = scratch_path(t.spark, "one-line")
     events = _as_text_time(t.events)
-    groups = events.groupBy((F.col("event_id") / 2000).cast("long").alias("file"))
+    size, number = _elements(events, least=2000)
+    groups = events.groupBy(_dealt(events, number).alias("file"))
     arrays = groups.agg(F.to_json(F.collect_list(F.struct(*events.columns))).alias("value"))
     _write_files(arrays, path)
     _write_files(arrays.withColumn("value", F.concat("value", F.lit("}"))), path)
     chunk = t.spark.conf.get("spark.sql.files.maxPartitionBytes")
-    t.spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    t.spark.conf.set("spark.sql.files.maxPartitionBytes", f"{64 * size // 2000}k")  # a few tasks per array
     try:
         return _typed(read_landing(t.spark, path, _EVENT_RECORD))
     finally:
