@@ -31,6 +31,7 @@ LONGEST_LINE = 4 << 20
 _PACKED = r"\.(gz|gzip|bz2|zst|lz4|snappy|deflate|xz)$"
 FORMS = ("lines", "indented", "array", "whole")
 _CHUNK_BYTES = "spark.sql.files.maxPartitionBytes"
+_LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 
 @dataclass(frozen=True)
@@ -53,6 +54,17 @@ def _located(texts: DataFrame) -> DataFrame:
     )
 
 
+def _read_text(spark: SparkSession, paths: list[str], wholetext: bool = False, **options) -> DataFrame:
+    """Texts of files. Spark lists each path given in a task of its own; many are listed together, by a few tasks per core."""
+    before = spark.conf.get(_LISTING_TASKS)
+    tasks = min(int(before), max(32, 4 * spark.sparkContext.defaultParallelism))
+    spark.conf.set(_LISTING_TASKS, str(tasks))
+    try:
+        return spark.read.options(**options).text(paths, wholetext=wholetext)
+    finally:
+        spark.conf.set(_LISTING_TASKS, before)
+
+
 def _chunk_bytes(spark: SparkSession) -> int:
     """Size of the byte ranges that Spark deals to tasks."""
     number, unit = re.match(r"\s*(\d+)\s*([kmgt]?)", spark.conf.get(_CHUNK_BYTES).lower()).groups()
@@ -64,13 +76,14 @@ def _forms(spark: SparkSession, paths: list[str]) -> DataFrame:
 
     Lines beyond ``LONGEST_LINE`` are passed over, which shows in the bytes that are missing.
     """
-    line = F.rtrim(F.regexp_replace("value", "\r$", ""))
+    # every line of every file comes by here, so plain searches stand before or instead of patterns
+    line = F.rtrim(F.when(F.contains("value", F.lit("\r")), F.regexp_replace("value", "\r$", "")).otherwise(F.col("value")))
     bare = F.btrim("value", F.lit(" \t\r"))
     whole = (bare.startswith("{") & bare.endswith("}")) | (bare.startswith("[") & bare.endswith("]"))
     count = lambda condition: F.count_if(condition)
-    read = spark.read.option("lineSep", "\n").option("mapreduce.input.linerecordreader.line.maxlength", LONGEST_LINE)
+    limit = {"lineSep": "\n", "mapreduce.input.linerecordreader.line.maxlength": LONGEST_LINE}
     facts = (
-        read.text(paths)
+        _read_text(spark, paths, **limit)
         .select("value", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_size").alias("size"))
         .groupBy(FILE)
         .agg(
@@ -83,7 +96,7 @@ def _forms(spark: SparkSession, paths: list[str]) -> DataFrame:
             count(line == "  {").alias("begins"),
             count(line == "  },").alias("goes_on"),
             count(line == "  }").alias("ends"),
-            count(line.rlike("^ ?[^ ]|^  [^ ]") & ~line.isin("[", "]", "  {", "  },", "  }")).alias("other"),
+            count((line != "") & ~line.startswith("   ") & ~line.isin("[", "]", "  {", "  },", "  }")).alias("other"),
         )
     )
     packed = F.col(FILE).rlike(_PACKED)
@@ -106,16 +119,16 @@ def _arrays(spark: SparkSession, paths: list[str], form: str) -> DataFrame:
     """
     if form == "lines":
         bare = F.btrim("value", F.lit(" \t\r"))
-        read = _located(spark.read.text(paths)).where(bare != "")
+        read = _located(_read_text(spark, paths)).where(bare != "")
         return read.withColumn("value", F.when(bare.startswith("["), bare).otherwise(F.concat(F.lit("["), bare, F.lit("]"))))
     if form == "indented":
-        read = _located(spark.read.option("lineSep", END_OF_ELEMENT).text(paths)).where(F.col("value").rlike(r"\S"))
+        read = _located(_read_text(spark, paths, lineSep=END_OF_ELEMENT)).where(F.col("value").rlike(r"\S"))
         piece = F.col("value")
         opens, closes = piece.rlike(r"^\s*\["), piece.rlike(r"\n\]\s*$")
         return read.withColumn("value", F.concat(F.when(opens, "").otherwise("["), piece, F.when(closes, "").otherwise("}]")))
     if form == "array":
         return array_elements(spark, paths).select("value", F.col("_file").alias(FILE), F.col("_written").alias(WRITTEN))
-    return _located(spark.read.text(paths, wholetext=True))
+    return _located(_read_text(spark, paths, wholetext=True))
 
 
 def _is_array(text: Column) -> Column:
