@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from moonstride.operators.load import append_new
 from moonstride.plans.loading import KINDS
 from moonstride.plans.staging import flatten_activities
-from moonstride.session import release
+from moonstride.session import release, stage
 from moonstride.sources.landing import FILE, WRITTEN, land, warn_unreadable
 
 
@@ -74,8 +74,13 @@ def ingest_landing(
         landed = land(spark, names, landing.schema, origin=True)
         warn_unreadable(landed.files)
         arrived = flatten_activities(landed.records) if landing.is_activity else landed.records
-        append_new(keep_first_file(arrived, id_column), table, id_column, path)
-        if landed.parsed is not None:
+        if landed.parsed is None:
+            append_new(keep_first_file(arrived, id_column), table, id_column, path)
+        else:
+            # the load reads its batch several times; rows are chosen once
+            chosen = stage(keep_first_file(arrived, id_column), "arrived")
+            append_new(chosen, table, id_column, path)
+            release(chosen)
             release(landed.parsed)
         # batches run in a session of their own; the caller's must list the new files
         landing.names.sparkSession.catalog.refreshTable(table)
