@@ -52,14 +52,15 @@ def _nights(t: Tables) -> DataFrame:
     return intermediate.nights(staged, staging.moon_calendar_columns(moon_seed(t.spark)))
 
 
-def _sleeps(t: Tables) -> DataFrame:
-    staged = staging.stage_sleeps(sleep_records(t.events))
+def _sleeps(t: Tables, staged: DataFrame | None = None) -> DataFrame:
+    staged = staging.stage_sleeps(sleep_records(t.events)) if staged is None else staged
     return intermediate.numbered_sleeps(staged, staging.moon_calendar_columns(moon_seed(t.spark)))
 
 
-def _workouts(t: Tables, numbered: bool = True) -> DataFrame:
+def _workouts(t: Tables, numbered: bool = True, staged: DataFrame | None = None) -> DataFrame:
     mapping = staging.stage_activity_mapping(mapping_seed(t.spark))
-    return intermediate.workouts(staging.stage_workouts(workout_records(t.events)), mapping, numbered=numbered)
+    staged = staging.stage_workouts(workout_records(t.events)) if staged is None else staged
+    return intermediate.workouts(staged, mapping, numbered=numbered)
 
 
 @query(f"SELECT * FROM {STAGED_SLEEP_SQL} s")
@@ -150,7 +151,7 @@ SEMANTIC_SQL = f"""
 
 
 def _semantic(t: Tables) -> DataFrame:
-    activities = _activity_table(t)
+    activities = _activities(t)  # its numbered rows are written; few columns of them are read here
     types = marts.activity_types(activities)
     fact = marts.fact_activities(marts.keyed_activities(activities, types, marts.gear(activities)))
     return marts.semantic_activities(fact, types)
@@ -297,10 +298,12 @@ def moon_days(t: Tables) -> DataFrame:
 
 def built_for_checks(t: Tables) -> dict[str, DataFrame]:
     """Models by name, written so that all checks of one read the same rows."""
+    sleeps = stage(staging.stage_sleeps(sleep_records(t.events)), "checked")
+    workouts = stage(staging.stage_workouts(workout_records(t.events)), "checked")
     return {
-        "stg_body_sleep": stage(staging.stage_sleeps(sleep_records(t.events)), "checked"),
-        "stg_body_workouts": stage(staging.stage_workouts(workout_records(t.events)), "checked"),
-        "int_body_sleep": stage(_sleeps(t).drop("source_sleep_id"), "checked"),
-        "int_body_workouts": stage(_workouts(t), "checked"),
+        "stg_body_sleep": sleeps,
+        "stg_body_workouts": workouts,
+        "int_body_sleep": stage(_sleeps(t, sleeps).drop("source_sleep_id"), "checked"),
+        "int_body_workouts": stage(_workouts(t, staged=workouts), "checked"),
         "fct_activities": stage(_semantic(t), "checked"),
     }
