@@ -28,6 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from moonstride.llm.columns import texts_of
+from moonstride.llm.memories import forget_others, remembered_by
 
 # a worker remembers this many pieces of text twice over: those met since the last change of
 # memories, and those met before it
@@ -201,6 +202,7 @@ class Codec(dict):
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
     """The codec of a tokenizer file, built once per worker."""
+    remembered_by(__name__, codec.cache_clear)
     return Codec(path)
 
 
@@ -217,6 +219,7 @@ def encode_and_decode(docs: DataFrame, tokenizer_path: str, with_ids: bool = Fal
     schema = pa.schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others(__name__)
         coder = codec(tokenizer_path)
         for batch in batches:
             rows: list[list] = [[] for _ in schema]

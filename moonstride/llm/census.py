@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moonstride.llm.columns import pieces_of
+from moonstride.llm.memories import forget_others, give_back
 from moonstride.session import scratch_path, stage
 
 BLOCK_BYTES = 6 << 20
@@ -75,12 +76,8 @@ def _steps(keys: np.ndarray) -> np.ndarray:
     return np.diff(keys, prepend=np.uint64(0))
 
 
-def give_back() -> None:
-    """Return what Arrow has set aside; a Python worker lives on after its task, beside its executor's heap."""
-    pa.default_memory_pool().release_unused()
-
-
 def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    forget_others()
     n = 0
     for whole in batches:
         for batch in pieces_of(whole, BLOCK_BYTES):

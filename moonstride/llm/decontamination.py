@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moonstride.llm.columns import texts_of
+from moonstride.llm.memories import forget_others
 from moonstride.session import stage
 
 _TABLE = bytes(
@@ -91,6 +92,7 @@ def _scan(docs: DataFrame, key: tuple, windows, last: bool) -> DataFrame:
     names = kinds.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others()
         if key not in _AUTOMATA:
             _AUTOMATA.clear()
             _AUTOMATA[key] = _automaton(windows.value)

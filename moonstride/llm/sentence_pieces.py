@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from moonstride.llm.columns import texts_of
+from moonstride.llm.memories import forget_others, remembered_by
 
 SPACE = "▁"
 # a worker remembers this many runs of text twice over (those met since the last change of memories, and those
@@ -264,6 +265,7 @@ def _stray(error: UnicodeDecodeError) -> tuple[str, int]:
 @lru_cache(maxsize=2)
 def piece_model(path: str) -> PieceModel:
     """The model of a file, built once per worker."""
+    remembered_by(__name__, piece_model.cache_clear)
     import codecs
 
     codecs.register_error("stray", _stray)
@@ -284,6 +286,7 @@ def encode_and_decode(docs: DataFrame, model_path: str, with_ids: bool = False,
     schema = pa.schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others(__name__)
         model = piece_model(model_path)
         for batch in batches:
             rows: list[list] = [[] for _ in schema]

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from moonstride.llm.bpe_automaton import split_pieces
 from moonstride.llm.columns import pieces_of, texts_of
+from moonstride.llm.memories import forget_others, remembered_by
 from moonstride.session import scratch_path, stage
 
 BLOCK = 1024
@@ -192,6 +193,7 @@ class PieceEncoder(dict):
 
 @lru_cache(maxsize=2)
 def piece_encoder(path: str) -> PieceEncoder:
+    remembered_by(__name__, piece_encoder.cache_clear)
     return PieceEncoder(path)
 
 
@@ -246,6 +248,7 @@ def write_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str,
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others(__name__)
         encoder, end, file, units = piece_encoder(tokenizer_path), np.array([end_id], "<u4").tobytes(), None, []
         part = TaskContext.get().partitionId()
         for whole in batches:
