@@ -8,6 +8,7 @@ starts, the table of documents (id, tokens) and a footer, so any document can be
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 import zlib
@@ -23,8 +24,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from moonstride.llm.bpe_automaton import split_pieces
-from moonstride.llm.columns import pieces_of, texts_of
+from moonstride.llm.bpe_automaton import byte_letters, split_pieces
+from moonstride.llm.columns import pieces_of, texts_of, utf8
 from moonstride.llm.memories import forget_others, remembered_by
 from moonstride.session import scratch_path, stage
 
@@ -36,8 +37,14 @@ _DOC = np.dtype([("id", "<i8"), ("null", "u1"), ("n", "<i8")])
 _FOOT = np.dtype([("blocks", "<u8"), ("docs", "<u8"), ("ids", "<u8"), ("magic", "S8")])
 # blocks packed at a time
 _TOGETHER = 256
-# marks that byte-level BPE never joins to a letter before them
-_MARKS = frozenset(".,;:!?")
+# characters of a kind that all versions of Unicode agree on: letters, and what is neither letter, number nor space
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏΑ-ΡΣ-ώЀ-ҁҊ-ԯא-תء-غف-يぁ-ゖァ-ヺ一-龥가-힣"
+_OTHERS = r"!-/:-@\[-`{-~“”‘’–—…«»¡¿•€£§°"
+# pieces of these alone are cut into words by Arrow, as the pattern of byte-level BPE cuts them
+_PLAIN = rf"\A[ \n]?[{_LETTERS}0-9{_OTHERS}]+\z"
+_WORD = rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]+| ?[{_OTHERS}]+|\n"
+# plain pieces handed to the library at a time
+_AT_ONCE = 50_000
 # white space before a blank or a line end, and NUL: cut in Python
 _ODD = r"\x00|[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}][ \n]"
 
@@ -106,89 +113,127 @@ def unpack_blocks(data: bytes, starts: np.ndarray) -> np.ndarray:
     return rest[np.arange(BLOCK) < heads["n"][:, None]]
 
 
-class PieceEncoder(dict):
-    """From pieces of text to their ids as little-endian bytes, through the tokenizers library.
+def _cuts_as_expected(path: str) -> bool:
+    """Whether texts are cut by the pattern of byte-level BPE as they are, and words have no marks of their own."""
+    with open(path, encoding="utf-8") as file:
+        described = json.load(file)
+    before, model = described.get("pre_tokenizer") or {}, described["model"]
+    return (
+        (before.get("type"), before.get("add_prefix_space"), before.get("use_regex", True)) == ("ByteLevel", False, True)
+        and model["type"] == "BPE" and not described.get("normalizer")
+        and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix"))
+    )
 
-    Pieces are encoded once and remembered, up to ``limit`` of them twice over.
+
+class PieceEncoder:
+    """From distinct pieces of text to their ids, through the tokenizers library.
+
+    Plain pieces are cut into words here, spelled in byte letters and given to the library's model many at
+    a time; other pieces go through the whole library one by one. Both are remembered as columns of at most
+    ``limit`` bytes; beyond them, only those of the last call are.
     """
 
-    def __init__(self, path: str, limit: int = 450_000) -> None:
-        super().__init__()
+    def __init__(self, path: str, limit: int = 32 << 20) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
 
-        self.tokenizer, self.limit, self.older = Tokenizer.from_file(path), limit, {}
+        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, new: list[str]) -> None:
-        """Remember the ids of new pieces. A mark after a letter is a word of its own, so what precedes it may be known."""
-        whole, parted = [], []
-        for piece in new:
-            (parted if piece[-1:] in _MARKS and piece[-2:-1].isalpha() else whole).append(piece)
-        stems = {p[:-1] for p in parted}
-        known = {s: self[s] for s in stems if s in self}
-        ask = list({*whole, *_MARKS} | (stems - known.keys()))
-        found = dict(zip(ask, self._ids(ask))) | known
-        self.update((p, found[p]) for p in whole)
-        self.update((s, found[s]) for s in stems)
-        self.update((p, found[p[:-1]] + found[p[-1]]) for p in parted)
-
-    def ids_of(self, pieces: list[str]) -> list[bytes]:
-        """Ids of distinct pieces."""
-        if len(self) >= self.limit:
-            self.older = dict(self)
-            self.clear()
-        new = []
-        for piece in pieces:
-            if piece not in self:
-                found = self.older.get(piece)
-                if found is None:
-                    new.append(piece)
-                else:
-                    self[piece] = found
-        if new:
-            self._learn(new)
-        return [self[piece] for piece in pieces]
-
-    def _one(self, text: str) -> bytes:
-        """A text with special tokens written out, or with white space that Arrow would cut elsewhere."""
-        if any(s in text for s in self.special):
-            return self._ids([text])[0]
-        pieces = split_pieces(text)
-        found = list(dict.fromkeys(pieces))
-        known = dict(zip(found, self.ids_of(found)))
-        return b"".join(map(known.__getitem__, pieces))
+        spelled, vocab = byte_letters(), self.tokenizer.get_vocab()
+        self.letters = np.array([ord(c) for c in spelled], "<u4")
+        self.letters[ord("\t")] = ord("\t")  # between words
+        self.spans = np.zeros(max(vocab.values()) + 1, np.int64)  # bytes of each token
+        self.spans[list(vocab.values())] = list(map(len, vocab))
+        self.words = None  # the model alone, for spelled words
+        if _cuts_as_expected(path) and all(c in vocab for c in spelled):
+            self.words = Tokenizer(self.tokenizer.model)
+            self.words.pre_tokenizer = CharDelimiterSplit("\t")
+        self._remember(pa.array([], pa.large_string()), np.zeros(0, np.uint32), np.zeros(0, np.int64))
+
+    def _remember(self, pieces: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.pieces, self.ids, self.sizes, self.starts = pieces, ids, sizes, np.cumsum(sizes) - sizes
+
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts, one after another, and how many each has, by the whole library."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array([i for ids in found for i in ids], np.uint32), np.array(list(map(len, found)), np.int64)
+
+    def _plain_ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same of plain pieces, by the model; tokens end where pieces do, so their bytes tell how many."""
+        words = utf8(pc.replace_substring_regex(pieces, _WORD, "\t\\0"))[0]
+        text = self.letters[words].tobytes().decode("utf-32-le")
+        ids = np.array(self.words.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        ends, piece_ends = np.cumsum(self.spans[ids]), utf8(pieces)[1][1:]
+        last = np.searchsorted(ends, piece_ends)
+        if len(ids) != last[-1] + 1 or (ends[last] != piece_ends).any():
+            raise ValueError("tokens do not spell the text")
+        return ids, np.diff(last, prepend=-1)
+
+    def _learn(self, new: pa.Array) -> np.ndarray:
+        """Remember new pieces and return their places."""
+        plain = pc.match_substring_regex(new, _PLAIN) if self.words else pa.array(np.zeros(len(new), bool))
+        some, rest, plain = new.filter(plain), new.filter(pc.invert(plain)), plain.to_numpy(zero_copy_only=False)
+        found = [(self.ids, self.sizes)]
+        found += [self._plain_ids(some.slice(first, _AT_ONCE)) for first in range(0, len(some), _AT_ONCE)]
+        found.append(self._ids(rest.to_pylist()))
+        places = np.empty(len(new), np.int64)
+        places[np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])] = len(self.pieces) + np.arange(len(new))
+        self._remember(pa.concat_arrays([self.pieces, some, rest]), *(np.concatenate(column) for column in zip(*found)))
+        return places
+
+    def _at(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the remembered pieces at ``places``, one after another, and where each ends."""
+        counts = self.sizes[places]
+        ends = np.cumsum(counts)
+        return self.ids[np.repeat(self.starts[places] - (ends - counts), counts) + np.arange(len(ends) and ends[-1])], ends
+
+    def ids_of(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces, one after another, and where those of each end."""
+        numbered = pieces.dictionary_encode()
+        distinct = numbered.dictionary.cast(pa.large_string())
+        known = pc.index_in(distinct, value_set=self.pieces)
+        places, new = known.fill_null(0).to_numpy().astype(np.int64), known.is_null()
+        if pc.any(new).as_py():
+            places[new.to_numpy(zero_copy_only=False)] = self._learn(distinct.filter(new))
+        found = self._at(places[numbered.indices.to_numpy(zero_copy_only=False)])
+        if self._bytes() > self.limit:
+            self._remember(distinct, self._at(places)[0], self.sizes[places])
+            if self._bytes() > self.limit:
+                self._remember(distinct.slice(0, 0), self.ids[:0].copy(), self.sizes[:0].copy())
+        return found
+
+    def _bytes(self) -> int:
+        return self.pieces.nbytes + self.ids.nbytes + self.sizes.nbytes + self.starts.nbytes
 
     def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
         """Ids of each text (null: none).
 
         Arrow cuts the texts and numbers their distinct pieces, only those are looked up, and their ids
-        are gathered by number.
+        are gathered by number. Texts with special tokens written out go to the library whole; those with
+        white space that Arrow would cut elsewhere are cut in Python.
         """
         texts = pc.fill_null(texts, "")
         odd = pc.match_substring_regex(texts, _ODD)
-        for special in self.special:
-            odd = pc.or_(odd, pc.match_substring(texts, special))
-        marked = pc.replace_substring(pc.if_else(odd, "", texts), " ", "\x00 ")
+        special = pa.array(np.zeros(len(texts), bool))
+        for content in self.special:
+            special = pc.or_(special, pc.match_substring(texts, content))
+        marked = pc.replace_substring(pc.if_else(pc.or_(odd, special), "", texts), " ", "\x00 ")
         pieces = pc.split_pattern(pc.replace_substring(marked, "\n", "\x00\n"), "\x00")
-        numbered = pieces.flatten().dictionary_encode()
-        known = self.ids_of(numbered.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        at = numbered.indices.to_numpy(zero_copy_only=False)
-        counts = sizes[at]
-        ends = np.cumsum(counts)
-        from_place = (np.cumsum(sizes) - sizes)[at] - (ends - counts)
-        ids = np.frombuffer(b"".join(known), "<u4")
-        ids = ids[np.repeat(from_place, counts) + np.arange(len(from_place) and ends[-1])]
-        rows = pieces.offsets.to_numpy()
-        bounds = np.append(0, ends)[rows - rows[0]].tolist()
-        for row, (first, last, alone) in enumerate(zip(bounds, bounds[1:], odd.to_pylist())):
-            yield self._one(texts[row].as_py()) if alone else ids[first:last].tobytes()
+        flat, rows = pieces.flatten(), pieces.offsets.to_numpy()
+        cut = {row: split_pieces(texts[row].as_py()) for row in np.flatnonzero(pc.and_not(odd, special)).tolist()}
+        ids, ends = self.ids_of(pa.concat_arrays([flat, pa.array([p for found in cut.values() for p in found], flat.type)]))
+        ends = np.append(0, ends)
+        bounds, place = ends[rows - rows[0]].tolist(), len(flat)
+        for row, (first, last, whole) in enumerate(zip(bounds, bounds[1:], special.to_pylist())):
+            if whole:
+                yield self._ids([texts[row].as_py()])[0].tobytes()
+                continue
+            if row in cut:
+                first, last, place = int(ends[place]), int(ends[place + len(cut[row])]), place + len(cut[row])
+            yield ids[first:last].tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -252,7 +297,7 @@ def write_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str,
         encoder, end, file, units = piece_encoder(tokenizer_path), np.array([end_id], "<u4").tobytes(), None, []
         part = TaskContext.get().partitionId()
         for whole in batches:
-            for batch in pieces_of(whole, 4 << 20):
+            for batch in pieces_of(whole, 8 << 20):
                 for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode_all(batch.column("text"))):
                     file = file or BlockFile(f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.pfor")
                     if not units or file.ids - units[-1][1] >= unit_ids:
