@@ -43,8 +43,8 @@ _OTHERS = r"!-/:-@\[-`{-~“”‘’–—…«»¡¿•€£§°"
 # pieces of these alone are cut into words by Arrow, as the pattern of byte-level BPE cuts them
 _PLAIN = rf"\A[ \n]?[{_LETTERS}0-9{_OTHERS}]+\z"
 _WORD = rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]+| ?[{_OTHERS}]+|\n"
-# plain pieces handed to the library at a time
-_AT_ONCE = 50_000
+# plain pieces, and others, handed to the library at a time
+_AT_ONCE, _ALONE_AT_ONCE = 50_000, 1_000
 # white space before a blank or a line end, and NUL: cut in Python
 _ODD = r"\x00|[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}][ \n]"
 
@@ -151,6 +151,9 @@ class PieceEncoder:
         if _cuts_as_expected(path) and all(c in vocab for c in spelled):
             self.words = Tokenizer(self.tokenizer.model)
             self.words.pre_tokenizer = CharDelimiterSplit("\t")
+        self._forget()
+
+    def _forget(self) -> None:
         self._remember(pa.array([], pa.large_string()), np.zeros(0, np.uint32), np.zeros(0, np.int64))
 
     def _remember(self, pieces: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
@@ -158,8 +161,12 @@ class PieceEncoder:
 
     def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts, one after another, and how many each has, by the whole library."""
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        return np.array([i for ids in found for i in ids], np.uint32), np.array(list(map(len, found)), np.int64)
+        found, sizes = array("I"), []
+        for first in range(0, len(texts), _ALONE_AT_ONCE):
+            for encoded in self.tokenizer.encode_batch_fast(texts[first : first + _ALONE_AT_ONCE], add_special_tokens=False):
+                found.fromlist(ids := encoded.ids)
+                sizes.append(len(ids))
+        return np.array(found, np.uint32), np.array(sizes, np.int64)
 
     def _plain_ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The same of plain pieces, by the model; tokens end where pieces do, so their bytes tell how many."""
@@ -202,7 +209,7 @@ class PieceEncoder:
         if self._bytes() > self.limit:
             self._remember(distinct, self._at(places)[0], self.sizes[places])
             if self._bytes() > self.limit:
-                self._remember(distinct.slice(0, 0), self.ids[:0].copy(), self.sizes[:0].copy())
+                self._forget()
         return found
 
     def _bytes(self) -> int:
